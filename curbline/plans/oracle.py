@@ -150,3 +150,9 @@ def slope_sql(cols: Sequence[str], years: Sequence[int] = Y) -> str:
     den = n * sum(x * x for x in years) - sx * sx
     terms = " + ".join(f"CAST({c} AS BIGINT) * ({n * x - sx})" for c, x in zip(cols, years))
     return f"CAST(({terms}) AS DOUBLE) / {float(den)}"
+
+
+def round_sql(expr: str, digits: int) -> str:
+    """Half-away-from-zero rounding; ``+ 0.0`` turns a -0.0 result into 0.0,
+    as Spark's (decimal based) ``round`` returns."""
+    return f"(round({expr}, {digits}) + 0.0)"

@@ -200,15 +200,15 @@ def _orders_wide(spark, d):
 
 
 @register("ols_slope_wide", O.with_(ORDERS_WIDE) +
-          f"SELECT o_custkey, {YSEL}, round({O.slope_sql(YC)}, 7) AS ols_coeff FROM orders_wide")
+          f"SELECT o_custkey, {YSEL}, {O.round_sql(O.slope_sql(YC), 7)} AS ols_coeff FROM orders_wide")
 def q_ols_slope_wide(spark, d):
     w = _orders_wide(spark, d)
     return w.select("o_custkey", *YC, rounded(ols_slope(YC, Y), 7).alias("ols_coeff"))
 
 
 @register("fn_round", O.with_(ORDERS_WIDE) + f"""SELECT o_custkey,
-  round({O.slope_sql(YC)}, 0) AS slope_r0, round({O.slope_sql(YC)}, 3) AS slope_r3,
-  round({O.slope_sql(YC)}, 7) AS slope_r7 FROM orders_wide""")
+  {O.round_sql(O.slope_sql(YC), 0)} AS slope_r0, {O.round_sql(O.slope_sql(YC), 3)} AS slope_r3,
+  {O.round_sql(O.slope_sql(YC), 7)} AS slope_r7 FROM orders_wide""")
 def q_fn_round(spark, d):
     s = ols_slope(YC, Y)
     return _orders_wide(spark, d).select(
@@ -217,7 +217,7 @@ def q_fn_round(spark, d):
 
 
 @register("ols_slope_long", O.with_(ORDERS_WIDE) + f"""SELECT o_custkey,
-  round(regr_slope(cnt, year), 7) AS ols_coeff
+  {O.round_sql('regr_slope(cnt, year)', 7)} AS ols_coeff
 FROM (UNPIVOT orders_wide ON {YSEL} INTO NAME yname VALUE cnt)
   CROSS JOIN LATERAL (SELECT CAST(substr(yname, 2) AS INTEGER) AS year)
 GROUP BY o_custkey""")
@@ -417,10 +417,14 @@ def q_zero_fill_years(spark, d):
     return fill_zero(p, YC)
 
 
-_JOINED_WIDE = _PRE + f""", pre AS (
+def _joined_wide(select: str = "s.physical_id") -> str:
+    return _PRE + f""", pre AS (
   SELECT county, street, house, n1, n2, boro, {_PIVOT_NULL}
   FROM facts GROUP BY county, street, house, n1, n2, boro),
-joined AS ({O.branches('pre', 'segs', 's.physical_id, ' + ', '.join(f'coalesce(f.{c}, 0) AS {c}' for c in YC))})"""
+joined AS ({O.branches('pre', 'segs', select + ', ' + ', '.join(f'coalesce(f.{c}, 0) AS {c}' for c in YC))})"""
+
+
+_JOINED_WIDE = _joined_wide()
 _SUMS = f", sums AS (SELECT physical_id, {', '.join(f'CAST(sum({c}) AS BIGINT) AS {c}' for c in YC)} FROM joined GROUP BY physical_id)"
 
 
@@ -450,7 +454,7 @@ def q_max_merge_zero_rows(spark, d):
     return max_merge(sums, zero_rows(distinct_ids(_s(spark, d)), YC), YC)
 
 
-@register("segments_left_fill", _JOINED_WIDE.replace("'s.physical_id, '", "'s.seg_ord, s.physical_id, '") + f"""
+@register("segments_left_fill", _joined_wide("s.seg_ord, s.physical_id") + f"""
 SELECT s.seg_ord, s.physical_id, {', '.join(f'CAST(coalesce(sum(j.{c}), 0) AS BIGINT) AS {c}' for c in YC)}
 FROM segs s LEFT JOIN joined j ON s.seg_ord = j.seg_ord GROUP BY s.seg_ord, s.physical_id""")
 def q_segments_left_fill(spark, d):
@@ -480,10 +484,10 @@ def _report_sql(variant: str, digits: int, ids: str | None) -> str:
     body = _JOINED_WIDE[len(_PRE):]
     id_src = {"raw": "fx_segment", "clean": "segs"}.get(ids)
     if id_src is None:
-        final = _SUMS + f"\nSELECT physical_id, {YSEL}, round({O.slope_sql(YC)}, {digits}) AS ols_coeff FROM sums"
+        final = _SUMS + f"\nSELECT physical_id, {YSEL}, {O.round_sql(O.slope_sql(YC), digits)} AS ols_coeff FROM sums"
     else:
         merged = _MERGED.replace("FROM fx_segment)", f"FROM {id_src})")
-        final = merged + f"\nSELECT physical_id, {YSEL}, round({O.slope_sql(YC)}, {digits}) AS ols_coeff FROM merged"
+        final = merged + f"\nSELECT physical_id, {YSEL}, {O.round_sql(O.slope_sql(YC), digits)} AS ols_coeff FROM merged"
     return head + body + final
 
 
