@@ -21,20 +21,36 @@ def upper_street(c: Column | str) -> Column:
     return F.upper(_col(c))
 
 
+# Fixed value: the letters removed from house numbers (upper-case A-Z only).
+UPPER_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
 def strip_letters(c: Column | str) -> Column:
     """Drop upper-case letters A-Z from a house number (F2): '12A' -> '12'.
 
     Lower-case letters stay, so '12b' later fails to parse and never matches.
+    ``translate`` with an empty replacement deletes the characters: the same
+    result as ``regexp_replace(c, '[A-Z]', '')`` without a regex per row.
     """
-    return F.regexp_replace(_col(c), "[A-Z]", "")
+    return F.translate(_col(c), UPPER_LETTERS, "")
 
 
 def number_part(c: Column | str, index: int) -> Column:
-    """Part ``index`` (0-based) of a '-'-separated number, as int or NULL.
+    """Part ``index`` (0 or 1) of a '-'-separated number, as int or NULL.
 
     '12-34' -> 12, 34; '12' -> 12, NULL; '1-2-3' -> 1, 2; '-7' -> NULL, 7.
+    Same values as ``get(split(c, '-'), index)`` followed by ``try_cast``, with
+    plain substring searches instead of a regex split.
     """
-    return F.get(F.split(_col(c), "-"), F.lit(index)).try_cast("int")
+    col = _col(c)
+    if index == 0:
+        part = F.substring_index(col, "-", 1)
+    elif index == 1:
+        part = F.when(F.instr(col, "-") > 0,
+                      F.substring_index(F.substring_index(col, "-", 2), "-", -1))
+    else:
+        part = F.get(F.split(col, "-"), F.lit(index))
+    return part.try_cast("int")
 
 
 def whole_number(c: Column | str) -> Column:

@@ -33,16 +33,15 @@ def alias_map(variant: str = "final") -> dict[str, str]:
 def recode_county(c: Column | str, variant: str = "final") -> Column:
     """Whole-value replacement; values that are not aliases pass unchanged.
 
-    Built as one CASE expression (same result as ``df.na.replace(dict)``) so
-    it composes with other column expressions.
+    Same result as ``df.na.replace(dict, subset)``, written as one lookup in a
+    literal map (constant-folded): compact generated code, one probe per row,
+    and it composes with other column expressions.
     """
     col = F.col(c) if isinstance(c, str) else c
-    mapping = alias_map(variant)
-    expr = None
-    for alias, code in mapping.items():
-        expr = (F.when(col == alias, F.lit(code)) if expr is None
-                else expr.when(col == alias, F.lit(code)))
-    return expr.otherwise(col)
+    pairs = []
+    for alias, code in alias_map(variant).items():
+        pairs += [F.lit(alias), F.lit(code)]
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), col), col)
 
 
 def borough_code(c: Column | str, variant: str = "final") -> Column:

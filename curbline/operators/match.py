@@ -1,75 +1,165 @@
-"""Matching events to segment sides.
-
-One equi-join on (boro, street, parity) with an inclusive range residual
-replaces the eight OR-free branches of the reference:
-
-    simple number   (n2 NULL):  s_lo <= n1 <= s_hi
-    compound number (n2 set):   lo1 <= n1 <= hi1  and  lo2 <= n2 <= hi2
-
-Strategy:
-
-* The sides table is a dimension (one to four rows per segment). It is
-  broadcast only after a size check: an upper bound of its in-memory size is
-  computed from its row count and longest street name, and compared with
-  ``curbline.broadcast.maxBytes`` (default 128 MiB). The event side is then
-  never shuffled for the join.
-* Above the bound the join is a shuffled equi-join on the three keys. AQE
-  splits skewed partitions; ``salt`` > 1 additionally spreads every key of the
-  event side over ``salt`` tasks (the sides rows are replicated per salt), for
-  a key that holds a large share of all events.
-* Policy 'all' keeps every (event, matching segment row) pair: a violation
-  counts once per matching segment row. Policy 'first' keeps the match with
-  the smallest ``seg_ord`` per event (``min_by``, a partial aggregate, so no
-  group is ever collected in one place).
+"""Matching events to segment sides (J1-J15): a bucketed range join.
+
+One equi-join replaces the eight OR-free branches of the reference:
+
+    keys       boro, street, parity, kind (0 simple / 1 compound number)
+    residual   lo <= n1 <= hi  and, for compound numbers, lo2 <= n2 <= hi2
+
+Equality on (boro, street, parity) alone leaves every event probing every
+side row of its street: quadratic for long streets, and a street holding a
+third of all segments would dominate the job. So the range itself becomes a
+key, by **multi-level bucketing** of the house number:
+
+* Level l has bucket width ``B_kind * fanout**l``. ``B_kind`` is the median
+  range width of that kind of row (measured, or given).
+* A side row is placed at the lowest level where its range covers at most
+  ``fanout`` buckets, and is repeated once per covered bucket.
+* An event probes one bucket per level: (level, n1 // width(level)).
+
+A side row that contains n1 shares exactly one (level, bucket) with the
+event, so every match is found once -- no candidate cap, no missed wide
+range -- and the build side grows by at most ``fanout + 1`` rows per side
+row, the probe side by the (small) number of levels.
+
+Strategy: the side table is a dimension. One aggregate job over it measures
+row count, longest street name and range widths; from these an *upper bound*
+of the broadcast hash relation is computed (rows after bucketing are bounded
+by sum(width)/B + 2 * rows). Only when that bound is below
+``curbline.broadcast.maxBytes`` (default 128 MiB) is the side broadcast, and
+the events are never shuffled for the join. Otherwise the join is a shuffled
+equi-join on all the keys above (the bucket key spreads a hot street over
+many tasks); AQE splits what is still skewed, and ``salt`` > 1 additionally
+spreads every event key over ``salt`` tasks.
+
+Policy 'all' keeps every (event, matching segment row) pair. Policy 'first'
+keeps the smallest ``seg_ord`` per event (``min_by``, a partial aggregate:
+no group is ever collected in one place).
 """
 
 from __future__ import annotations
 
 import functools
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-JOIN_KEYS = ["boro", "street", "parity"]
+EQUI_KEYS = ["boro", "street", "parity"]
+JOIN_KEYS = EQUI_KEYS + ["kind", "level", "bucket"]
 SEGMENT_OUT = ["seg_ord", "physical_id", "side", "name_role"]
 DEFAULT_BROADCAST_MAX_BYTES = 128 * 1024 * 1024
+DEFAULT_FANOUT = 16
+PROBE_COLUMNS = SEGMENT_OUT + EQUI_KEYS + ["kind", "lo", "hi", "lo2", "hi2"]
 
 
 def range_condition() -> Column:
-    """Inclusive one- or two-dimensional range test."""
+    """Inclusive one- or two-dimensional range test on probe rows."""
     n1, n2 = F.col("n1"), F.col("n2")
-    simple = n2.isNull() & n1.between(F.col("s_lo"), F.col("s_hi"))
-    compound = (n2.isNotNull() & n1.between(F.col("lo1"), F.col("hi1"))
-                & n2.between(F.col("lo2"), F.col("hi2")))
-    return simple | compound
+    return n1.between(F.col("lo"), F.col("hi")) & (
+        n2.isNull() | n2.between(F.col("lo2"), F.col("hi2")))
 
 
-def sides_size_bound(sides: DataFrame) -> int:
-    """Upper bound (bytes) of the broadcast hash relation of ``sides``.
+def probe_rows(sides: DataFrame) -> DataFrame:
+    """Side rows split by the kind of number they can match.
 
-    One small aggregate job over the dimension: row count times the widest
-    possible row (fixed-width slots plus the longest street name), doubled for
-    the hash table. The bound holds for every row, so it is a proof, not a
-    sampled estimate.
+    kind 0 (simple number): range s_lo..s_hi. kind 1 (compound): lo1..hi1 for
+    the first part, lo2..hi2 for the second. Empty or NULL ranges are dropped.
     """
-    row = sides.agg(F.count(F.lit(1)).alias("n"),
-                    F.max(F.length("street")).alias("w")).first()
-    n, w = int(row["n"] or 0), int(row["w"] or 0)
-    fixed = 8 + 8 * len(sides.columns)           # null bits + one slot per column
-    var = ((w + 7) // 8) * 8 + 8 + 8             # street, side, name_role
-    return n * 2 * (fixed + var)
-
-
-def broadcast_limit(sides: DataFrame) -> int:
-    conf = sides.sparkSession.conf.get("curbline.broadcast.maxBytes", None)
-    return int(conf) if conf else DEFAULT_BROADCAST_MAX_BYTES
-
-
-def choose_broadcast(sides: DataFrame, broadcast: bool | None) -> bool:
-    """True to broadcast ``sides``: forced by the caller, else by size check."""
-    if broadcast is not None:
-        return broadcast
-    return sides_size_bound(sides) <= broadcast_limit(sides)
+    simple = F.struct(F.lit(0).alias("kind"), F.col("s_lo").alias("lo"),
+                      F.col("s_hi").alias("hi"), F.lit(None).cast("int").alias("lo2"),
+                      F.lit(None).cast("int").alias("hi2"))
+    compound = F.struct(F.lit(1).alias("kind"), F.col("lo1").alias("lo"),
+                        F.col("hi1").alias("hi"), F.col("lo2").alias("lo2"),
+                        F.col("hi2").alias("hi2"))
+    rows = sides.select(*SEGMENT_OUT, *EQUI_KEYS,
+                        F.explode(F.array(simple, compound)).alias("p")).select(
+        *SEGMENT_OUT, *EQUI_KEYS, "p.*")
+    ok = (F.col("lo") <= F.col("hi")) & (
+        (F.col("kind") == 0) | (F.col("lo2") <= F.col("hi2")))
+    return rows.where(ok)
+
+
+@dataclass(frozen=True)
+class MatchPlan:
+    """Decisions taken from one aggregate over the probe rows."""
+    widths: tuple[int, int]      # base bucket width per kind
+    levels: int                  # number of bucket levels
+    fanout: int
+    size_bound: int              # bytes, upper bound of the bucketed build side
+    broadcast: bool
+
+
+def plan_match(probe: DataFrame, broadcast: bool | None = None,
+               bucket_width: int | None = None, fanout: int = DEFAULT_FANOUT) -> MatchPlan:
+    """Measure the build side (one small job) and choose bucketing and strategy."""
+    if fanout < 2:
+        raise ValueError("fanout must be >= 2")
+    w = F.col("hi") - F.col("lo")
+    aggs = [F.count(F.lit(1)).alias("n"), F.max(F.length("street")).alias("slen")]
+    for k in (0, 1):
+        wk = F.when(F.col("kind") == k, w)
+        aggs += [F.percentile_approx(wk, 0.5).alias(f"med{k}"),
+                 F.max(wk).alias(f"max{k}"), F.sum(wk).alias(f"sum{k}"),
+                 F.count(wk).alias(f"n{k}")]
+    st = probe.agg(*aggs).first()
+    widths = []
+    levels = 1
+    bound_rows = 0
+    for k in (0, 1):
+        base = bucket_width or max(1, int(st[f"med{k}"] or 0) + 1)
+        widths.append(base)
+        widest = int(st[f"max{k}"] or 0)
+        # lowest level whose bucket width lets the widest range span <= fanout
+        lv = 1
+        while widest // (base * fanout ** (lv - 1)) + 2 > fanout:
+            lv += 1
+        levels = max(levels, lv)
+        # rows after bucketing: each row covers <= width/base + 2 buckets
+        bound_rows += int(st[f"sum{k}"] or 0) // base + 2 * int(st[f"n{k}"] or 0)
+    slen = int(st["slen"] or 0)
+    fixed = 8 + 8 * (len(PROBE_COLUMNS) + 2)        # null bits + one slot per column
+    var = ((slen + 7) // 8) * 8 + 8 + 8             # street, side, name_role
+    size_bound = bound_rows * 2 * (fixed + var)     # x2 for the hash table
+    if broadcast is None:
+        conf = probe.sparkSession.conf.get("curbline.broadcast.maxBytes", None)
+        limit = int(conf) if conf else DEFAULT_BROADCAST_MAX_BYTES
+        broadcast = size_bound <= limit
+    return MatchPlan((widths[0], widths[1]), levels, fanout, size_bound, broadcast)
+
+
+def _level_width(plan: MatchPlan, kind: Column, level: int) -> Column:
+    f = plan.fanout ** level
+    return F.when(kind == 0, F.lit(plan.widths[0] * f)).otherwise(F.lit(plan.widths[1] * f))
+
+
+def bucketed_build(probe: DataFrame, plan: MatchPlan) -> DataFrame:
+    """Place every probe row at its level and repeat it per covered bucket."""
+    kind, lo, hi = F.col("kind"), F.col("lo"), F.col("hi")
+    level = None
+    for lv in range(plan.levels - 1, -1, -1):
+        width = _level_width(plan, kind, lv)
+        fits = (F.floor(hi / width) - F.floor(lo / width) + 1) <= plan.fanout
+        level = F.lit(lv) if level is None else F.when(fits, F.lit(lv)).otherwise(level)
+    width = None
+    for lv in range(plan.levels):
+        w = _level_width(plan, kind, lv)
+        width = w if width is None else F.when(F.col("level") == lv, w).otherwise(width)
+    placed = probe.withColumn("level", level).withColumn("_w", width)
+    return placed.withColumn(
+        "bucket", F.explode(F.sequence(F.floor(lo / F.col("_w")), F.floor(hi / F.col("_w"))))
+    ).drop("_w")
+
+
+def bucketed_probe(facts: DataFrame, plan: MatchPlan) -> DataFrame:
+    """Every event once per level, with its bucket at that level."""
+    kind = F.when(F.col("n2").isNull(), F.lit(0)).otherwise(F.lit(1))
+    with_kind = facts.withColumn("kind", kind)
+    keys = F.array(*[
+        F.struct(F.lit(lv).alias("level"),
+                 F.floor(F.col("n1") / _level_width(plan, F.col("kind"), lv)).alias("bucket"))
+        for lv in range(plan.levels)])
+    return with_kind.select("*", F.explode(keys).alias("_k")).select(
+        *facts.columns, "kind", "_k.level", "_k.bucket")
 
 
 def match(
@@ -78,6 +168,8 @@ def match(
     policy: str = "all",
     broadcast: bool | None = None,
     salt: int = 1,
+    bucket_width: int | None = None,
+    fanout: int = DEFAULT_FANOUT,
 ) -> DataFrame:
     """Join events (columns boro, street, parity, n1, n2 + payload) to sides.
 
@@ -86,18 +178,19 @@ def match(
     """
     if policy not in ("all", "first"):
         raise ValueError(f"unknown policy {policy!r}")
+    probe = probe_rows(sides)
+    plan = plan_match(probe, broadcast, bucket_width, fanout)
+    build = bucketed_build(probe, plan)
+    stream = bucketed_probe(facts, plan)
     keys = list(JOIN_KEYS)
-    right = sides
-    left = facts
-    if choose_broadcast(sides, broadcast):
-        right = F.broadcast(sides)
+    if plan.broadcast:
+        build = F.broadcast(build)
     elif salt > 1:
-        left = facts.withColumn("_salt", F.pmod(F.xxhash64("n1", "n2"), F.lit(salt)).cast("int"))
-        right = sides.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+        stream = stream.withColumn("_salt", F.pmod(F.xxhash64("n1", "n2"), F.lit(salt)).cast("int"))
+        build = build.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
         keys.append("_salt")
-    joined = left.join(right, on=keys, how="inner").where(range_condition())
-    out = facts.columns + SEGMENT_OUT
-    joined = joined.select(*out)
+    joined = stream.join(build, on=keys, how="inner").where(range_condition())
+    joined = joined.select(*facts.columns, *SEGMENT_OUT)
     if policy == "all":
         return joined
     return joined.groupBy(*facts.columns).agg(
@@ -106,6 +199,18 @@ def match(
     )
 
 
+def match_unbucketed(facts: DataFrame, sides: DataFrame, broadcast: bool = True) -> DataFrame:
+    """The plain form: equi-join on (boro, street, parity, kind), range residual.
+
+    Same result as ``match(..., 'all')``; kept to measure what bucketing buys.
+    """
+    probe = probe_rows(sides)
+    stream = facts.withColumn("kind", F.when(F.col("n2").isNull(), 0).otherwise(1))
+    build = F.broadcast(probe) if broadcast else probe
+    return (stream.join(build, on=EQUI_KEYS + ["kind"], how="inner")
+            .where(range_condition()).select(*facts.columns, *SEGMENT_OUT))
+
+
 # --- branch view of the same join (J1-J8) ---------------------------------
 
 BRANCHES = {
@@ -139,14 +244,12 @@ def branch_joins(facts: DataFrame, sides: DataFrame,
     Kept as a baseline and for the bag-union operator (U1); the reports use
     the single join, which scans the events once instead of eight times.
     """
-    use_broadcast = choose_broadcast(sides, broadcast)
     out = []
     for no, (compound, side, role) in BRANCHES.items():
         kind = F.col("n2").isNotNull() if compound else F.col("n2").isNull()
         f = facts.where(kind & (F.col("parity") == (0 if side == "R" else 1)))
         s = sides.where((F.col("side") == side) & (F.col("name_role") == role))
-        j = f.join(F.broadcast(s) if use_broadcast else s, on=JOIN_KEYS, how="inner").where(range_condition())
-        out.append(j.select(*facts.columns, *SEGMENT_OUT).withColumn("branch", F.lit(no)))
+        out.append(match(f, s, "all", broadcast).withColumn("branch", F.lit(no)))
     return out
 
 

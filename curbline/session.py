@@ -20,12 +20,17 @@ def local_session(cores: int | str = "*", app: str = "curbline") -> SparkSession
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", parts)
         .config("spark.default.parallelism", parts)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # HotSpot does not JIT-compile methods over 8000 bytes of bytecode;
+        # above that, fall back from whole-stage codegen instead of running
+        # a huge generated method interpreted
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
