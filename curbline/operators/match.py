@@ -27,9 +27,10 @@ of the broadcast hash relation is computed (rows after bucketing are bounded
 by sum(width)/B + 2 * rows). Only when that bound is below
 ``curbline.broadcast.maxBytes`` (default 128 MiB) is the side broadcast, and
 the events are never shuffled for the join. Otherwise the join is a shuffled
-equi-join on all the keys above (the bucket key spreads a hot street over
-many tasks); AQE splits what is still skewed, and ``salt`` > 1 additionally
-spreads every event key over ``salt`` tasks.
+sort-merge equi-join on all the keys above (hinted, so that no low static
+estimate broadcasts it anyway); the bucket key spreads a hot street over many
+tasks, AQE splits what is still skewed, and ``salt`` > 1 additionally spreads
+every event key over ``salt`` tasks.
 
 Policy 'all' keeps every (event, matching segment row) pair. Policy 'first'
 keeps the smallest ``seg_ord`` per event (``min_by``, a partial aggregate:
@@ -185,10 +186,15 @@ def match(
     keys = list(JOIN_KEYS)
     if plan.broadcast:
         build = F.broadcast(build)
-    elif salt > 1:
-        stream = stream.withColumn("_salt", F.pmod(F.xxhash64("n1", "n2"), F.lit(salt)).cast("int"))
-        build = build.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-        keys.append("_salt")
+    else:
+        if salt > 1:
+            stream = stream.withColumn("_salt", F.pmod(F.xxhash64("n1", "n2"), F.lit(salt)).cast("int"))
+            build = build.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+            keys.append("_salt")
+        # the size check refused a broadcast: say so, so that a low static
+        # estimate cannot broadcast it anyway; sort-merge spills and AQE
+        # splits skewed partitions
+        build = build.hint("merge")
     joined = stream.join(build, on=keys, how="inner").where(range_condition())
     joined = joined.select(*facts.columns, *SEGMENT_OUT)
     if policy == "all":
