@@ -43,12 +43,19 @@ def shared_dir(spark: SparkSession) -> str:
     when neither is set -- local tests and the benchmark -- a fresh folder is
     created and registered as the checkpoint dir, so later calls agree.
     """
-    sc = spark.sparkContext
-    found = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext on a Connect client
+        sc = None
+    found = (sc.getCheckpointDir() if sc is not None else None) or \
+        spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         found = tempfile.mkdtemp(prefix="curbline-ckpt-")
-        sc.setCheckpointDir(found)
-        found = sc.getCheckpointDir() or found
+        if sc is not None:
+            sc.setCheckpointDir(found)
+            found = sc.getCheckpointDir() or found
+        else:
+            spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 

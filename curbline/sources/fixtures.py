@@ -67,8 +67,12 @@ def spread(df: DataFrame) -> DataFrame:
     the default parallelism; an input large enough to matter already has at
     least that many splits and is left as it is (no shuffle).
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave as is
+        return df
+    if splits < target:
         return df.repartition(target)
     return df
 
