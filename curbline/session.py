@@ -55,7 +55,10 @@ def shared_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(found)
             found = sc.getCheckpointDir() or found
         else:
-            spark.conf.set("spark.checkpoint.dir", found)
+            try:
+                spark.conf.set("spark.checkpoint.dir", found)
+            except Exception:  # noqa: BLE001 - static on some deployments
+                pass
     return found.rstrip("/")
 
 
