@@ -65,3 +65,35 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_settings(input_bytes: int, total_cores: int,
+                   partition_bytes: int = 256 * 1024 * 1024,
+                   shuffle_ratio: float = 0.05) -> dict[str, str]:
+    """Session settings sized for one run over ``input_bytes`` of events.
+
+    * Scan splits of ``partition_bytes`` (100 TB -> ~400k map tasks).
+    * The big shuffle is the per-address pre-aggregate, a small fraction
+      (``shuffle_ratio``) of the input: the initial shuffle width is that
+      volume over ``partition_bytes``, at least 2 tasks per core, at most
+      20000; AQE coalesces small partitions and splits skewed ones.
+    * Generated methods stay JIT-compilable (HotSpot's 8000-byte limit).
+    """
+    shuffle_bytes = int(input_bytes * shuffle_ratio)
+    width = max(2 * total_cores, min(20000, -(-shuffle_bytes // partition_bytes)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.codegen.hugeMethodLimit": "8000",
+    }
+
+
+def apply_settings(spark: SparkSession, settings: dict[str, str]) -> None:
+    """Set runtime SQL settings on an existing session."""
+    for k, v in settings.items():
+        spark.conf.set(k, v)

@@ -145,3 +145,12 @@ def test_years(spark):
     out = df.select(year_text("d"), year_parsed("d")).collect()
     assert [r[0] for r in out] == [2015, 2015, 2015, None, None]
     assert [r[1] for r in out] == [2015, 2015, None, None, None]
+
+
+def test_scale_settings():
+    from curbline.session import scale_settings
+    big = scale_settings(100 * 1024 ** 4, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 20000
+    small = scale_settings(10 * 1024 ** 2, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
