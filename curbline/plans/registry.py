@@ -533,3 +533,24 @@ def q_sink_csv_overwrite(spark, d):
     csv_io.write_report_csv(reports.trend_report(_v(spark, d), _s(spark, d), Y), path, mode="overwrite")
     csv_io.write_report_csv(reports.trend_report_r3(_v(spark, d), _s(spark, d), Y), path, mode="overwrite")
     return csv_io.read_report_csv(spark, path, Y)
+
+
+# ---------------------------------------------------------------- staging and incremental ingest
+
+@register("stage_parquet_years", O.with_(*FX) + f"""SELECT * FROM fx_violation
+WHERE {O.part_int('issue_date', '/', 3)} BETWEEN {min(Y)} AND {max(Y)}""")
+def q_stage_parquet_years(spark, d):
+    from curbline.sources import staging
+    path = staging.stage_violations(_v(spark, d), csv_io.fresh_path(spark, "staged"))
+    return staging.read_staged_violations(spark, path, Y)
+
+
+@register("stream_ingest_facts", O.with_(*FX) + "SELECT * FROM fx_violation")
+def q_stream_ingest_facts(spark, d):
+    from curbline.sources import staging
+    from curbline.streaming import ingest_violation_csvs
+    src = csv_io.write_violations_csv(_v(spark, d), csv_io.fresh_path(spark, "arriving-csv"))
+    out = csv_io.fresh_path(spark, "ingested")
+    ingest_violation_csvs(spark, src, out, checkpoint=csv_io.fresh_path(spark, "ingest-ckpt"))
+    return staging.read_staged_violations(spark, out).select(
+        "vid", "house_number", "street_name", "county", "issue_date")

@@ -154,3 +154,28 @@ def test_size_check_refuses_large_build(spark, small):
     finally:
         spark.conf.unset("curbline.broadcast.maxBytes")
     assert plan_match(probe).broadcast
+
+
+def test_hot_key_third_of_rows(spark):
+    """A third of all events at one address, half the segments on its street."""
+    v = fixtures.violations(spark, SF001)
+    hot = (F.col("vid") % 3 == 0)
+    v = (v.withColumn("street_name", F.when(hot, F.lit("Main St 4")).otherwise(F.col("street_name")))
+          .withColumn("house_number", F.when(hot, F.lit("24")).otherwise(F.col("house_number")))
+          .withColumn("county", F.when(hot, F.lit("QNS")).otherwise(F.col("county"))))
+    s = fixtures.segments(spark, SF001)
+    s = (s.withColumn("full_street", F.when(F.col("seg_ord") % 2 == 0, F.lit("Main St 4"))
+                      .otherwise(F.col("full_street")))
+          .withColumn("boro_code", F.when(F.col("seg_ord") % 2 == 0, F.lit(4))
+                      .otherwise(F.col("boro_code"))))
+    facts = matchable(clean_facts(v, Y)).select("vid", "boro", "street", "parity", "n1", "n2")
+    seg = clean_segments(s)
+    want = sorted(brute_pairs(facts.collect(), seg.collect()))
+    assert len(want) > 1000
+    for kw in ({}, {"broadcast": False}, {"broadcast": False, "salt": 8}):
+        assert _pairs(match(facts, segment_sides(seg), "all", **kw)) == want, kw
+    # the trend report over the same skewed input equals the per-id brute-force sums
+    from curbline.plans import reports
+    rep = reports.trend_report(v, s, Y, broadcast=False, salt=4)
+    total = rep.selectExpr("sum(y1995 + y1996 + y1997 + y1998 + y1999)").first()[0]
+    assert total == len(want)
