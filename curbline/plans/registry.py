@@ -14,14 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbline.functions import (
-    number_part, ols_slope, ols_slope_long, parity, recode_county, rounded,
+    number_part, ols_slope, ols_slope_long, recode_county, rounded,
     strip_letters, upper_street, year_parsed, year_text,
 )
 from curbline.operators import (
     ADDRESS_KEYS, branch, branch_joins, clean_facts, clean_segments, count_long,
     dedupe_labels, distinct_ids, drop_null_facts, fill_zero, match, matchable,
     max_merge, pivot_years, project_facts, reject_malformed, segment_sides,
-    sum_by_id, totals_with_all_ids, union_all, zero_rows,
+    sum_by_id, union_all, zero_rows,
 )
 from curbline.plans import oracle as O
 from curbline.plans import reports

@@ -68,3 +68,25 @@ def test_staging_prunes_years(spark):
     want = v.where(F.get(F.split("issue_date", "/"), F.lit(2)).cast("int").between(1995, 1996))
     assert sorted(back.collect()) == sorted(want.collect())
     assert sorted(back.columns) == sorted(v.columns)
+
+
+def test_command_line_job(spark):
+    from curbline.plans import job
+    v, s = fixtures.violations(spark, SF001), fixtures.segments(spark, SF001)
+    root = _tmp()
+    vdir, sdir = os.path.join(root, "v"), os.path.join(root, "s")
+    csv_io.write_violations_csv(v, vdir)
+    csv_io.write_segments_csv(s, sdir)
+    out = os.path.join(root, "report")
+    assert job.main([out, "--violations", vdir, "--segments", sdir, "--years", "1995-1999"]) == 0
+    back = csv_io.read_report_csv(spark, out, fixtures.FIXTURE_YEARS)
+    want = reports.trend_report(v, s, fixtures.FIXTURE_YEARS)
+    assert sorted(back.collect()) == sorted(want.collect())
+    # staged events, matched-only variant
+    staged = staging.stage_violations(v, os.path.join(root, "staged"))
+    out2 = os.path.join(root, "report2")
+    job.main([out2, "--violations", staged, "--segments", sdir, "--years", "1995-1999",
+              "--staged", "--report", "matched"])
+    back2 = csv_io.read_report_csv(spark, out2, fixtures.FIXTURE_YEARS)
+    want2 = reports.trend_matched_segments(v, s, fixtures.FIXTURE_YEARS)
+    assert sorted(back2.collect()) == sorted(want2.collect())
