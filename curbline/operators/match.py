@@ -171,16 +171,19 @@ def match(
     salt: int = 1,
     bucket_width: int | None = None,
     fanout: int = DEFAULT_FANOUT,
+    plan: MatchPlan | None = None,
 ) -> DataFrame:
     """Join events (columns boro, street, parity, n1, n2 + payload) to sides.
 
     Returns the event columns plus seg_ord, physical_id, side, name_role
-    (policy 'all') or seg_ord, physical_id (policy 'first').
+    (policy 'all') or seg_ord, physical_id (policy 'first'). ``plan`` reuses a
+    measurement of a superset of ``sides`` (its size bound still holds).
     """
     if policy not in ("all", "first"):
         raise ValueError(f"unknown policy {policy!r}")
     probe = probe_rows(sides)
-    plan = plan_match(probe, broadcast, bucket_width, fanout)
+    if plan is None:
+        plan = plan_match(probe, broadcast, bucket_width, fanout)
     build = bucketed_build(probe, plan)
     stream = bucketed_probe(facts, plan)
     keys = list(JOIN_KEYS)
@@ -250,12 +253,13 @@ def branch_joins(facts: DataFrame, sides: DataFrame,
     Kept as a baseline and for the bag-union operator (U1); the reports use
     the single join, which scans the events once instead of eight times.
     """
+    plan = plan_match(probe_rows(sides), broadcast)     # one measurement for all eight
     out = []
     for no, (compound, side, role) in BRANCHES.items():
         kind = F.col("n2").isNotNull() if compound else F.col("n2").isNull()
         f = facts.where(kind & (F.col("parity") == (0 if side == "R" else 1)))
         s = sides.where((F.col("side") == side) & (F.col("name_role") == role))
-        out.append(match(f, s, "all", broadcast).withColumn("branch", F.lit(no)))
+        out.append(match(f, s, "all", plan=plan).withColumn("branch", F.lit(no)))
     return out
 
 
