@@ -1,16 +1,16 @@
 """Whole queries: the trend report and its variants (Q1-Q5).
 
-Plan of the trend report (Q1):
+Plan of the trend report (Q1), when the segment sides pass the size check:
 
-    events --clean/prune--> matchable addresses --partial+final count per
-    address and year (one shuffle, small output)--> broadcast hash join with
-    segment sides (size-checked; no shuffle of events) --> union with zero rows
-    of every segment id --> sum per id (partial+final, one shuffle) --> slope
-    as a column expression --> sort by id.
+    events --clean/prune (pushed into the scan)--> broadcast hash join with
+    bucketed segment sides (events do not move) --> union with a NULL-year
+    row per segment id --> count per id and year (partial + final, one
+    shuffle over at most segments x years keys) --> slope as a column
+    expression --> sort by id.
 
-Counting per address *before* the join is what makes this scale: the join
-input is the number of distinct addresses, not the number of events, and a
-hot address collapses to one row per year inside each map task.
+Otherwise events are counted per address and year first, so the shuffled
+join moves one row per address (see ``yearly_counts``). A hot address,
+street or id collapses inside every map task in both plans.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from curbline.operators import (
     ADDRESS_KEYS, clean_facts, clean_segments, count_long, match, matchable,
     pivot_years, segment_sides, totals_with_all_ids,
 )
+from curbline.operators.match import plan_match, probe_rows
 from curbline.schemas import year_columns
 
 REFERENCE_YEARS = (2015, 2016, 2017, 2018, 2019)
@@ -43,14 +44,33 @@ def yearly_counts(
 
     ``ids`` chooses which ids appear without matches: 'raw' every id of the
     segment table, 'clean' ids surviving cleaning, None only matched ids.
+
+    Two plans, chosen by the size check of the segment sides:
+
+    * broadcast: events probe the broadcast sides where they are (no shuffle
+      for the join) and only then are counted per (id, year). The shuffle is
+      the partial aggregate over (id, year), whose key space is segments x
+      years, far smaller than the distinct addresses of a large input.
+    * otherwise: events are first counted per address and year (partial +
+      final aggregate), so the shuffled sort-merge join moves one row per
+      address instead of one per event.
     """
     ycols = year_columns(years)
     facts = matchable(clean_facts(violations, years, aliases))
-    addresses = pivot_years(facts, ADDRESS_KEYS, years)
     seg = clean_segments(segments)
-    matched = match(addresses, segment_sides(seg), "all", broadcast, salt)
+    sides = segment_sides(seg)
+    plan = plan_match(probe_rows(sides), broadcast)
     id_rows = {"raw": segments, "clean": seg, None: None}[ids]
     id_rows = None if id_rows is None else id_rows.select("physical_id")
+    if plan.broadcast:
+        events = facts.select(*ADDRESS_KEYS, "year")
+        matched = match(events, sides, "all", plan=plan).select("physical_id", "year")
+        if id_rows is not None:
+            matched = matched.unionByName(
+                id_rows.select("physical_id", F.lit(None).cast("int").alias("year")))
+        return pivot_years(matched, ["physical_id"], years)
+    addresses = pivot_years(facts, ADDRESS_KEYS, years)
+    matched = match(addresses, sides, "all", plan=plan, salt=salt)
     return totals_with_all_ids(matched, id_rows, ycols)
 
 

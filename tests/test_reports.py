@@ -79,3 +79,14 @@ def test_report_plan(spark):
         .executedPlan().toString()
     assert "BroadcastHashJoin" in plan
     assert "PythonUDF" not in plan and "EvalPython" not in plan
+
+
+@pytest.mark.parametrize("make", [reports.trend_report, reports.trend_clean_segments,
+                                  reports.trend_matched_segments])
+def test_join_first_and_preaggregate_plans_agree(spark, make):
+    v, s = fixtures.violations(spark, SF001), fixtures.segments(spark, SF001)
+    a = make(v, s, fixtures.FIXTURE_YEARS, broadcast=True)
+    b = make(v, s, fixtures.FIXTURE_YEARS, broadcast=False)
+    c = make(v, s, fixtures.FIXTURE_YEARS, broadcast=False, salt=3)
+    assert a.collect() == b.collect() == c.collect()
+    assert "SortMergeJoin" in b._jdf.queryExecution().executedPlan().toString()
