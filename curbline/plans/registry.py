@@ -335,10 +335,7 @@ def q_or_label_match(spark, d):
 @register("match_all", O.with_(*FX, O.facts_cte(), O.segs_cte()) + f"""SELECT physical_id, year, CAST(count(*) AS BIGINT) AS cnt FROM (
 {O.branches('facts', 'segs', 'f.year, s.physical_id')}) GROUP BY physical_id, year""")
 def q_match_all(spark, d):
-    facts = matchable(_facts(spark, d))
-    addresses = count_long(facts, ADDRESS_KEYS + ["year"])
-    m = match(addresses, _sides(spark, d), "all")
-    return m.groupBy("physical_id", "year").agg(F.sum("cnt").cast("bigint").alias("cnt"))
+    return reports.counts_per_id_year(matchable(_facts(spark, d)), _sides(spark, d))
 
 
 _NO_ST = O.with_(*FX, O.facts_cte(variant="no_st"), O.segs_cte())

@@ -74,6 +74,22 @@ def yearly_counts(
     return totals_with_all_ids(matched, id_rows, ycols)
 
 
+def counts_per_id_year(facts: DataFrame, sides: DataFrame,
+                       broadcast: bool | None = None, salt: int = 1) -> DataFrame:
+    """physical_id, year, cnt over matched (event, segment row) pairs.
+
+    Join first when the sides are broadcast (events stay in place), else
+    count per address and year before the shuffled join (as ``yearly_counts``).
+    """
+    plan = plan_match(probe_rows(sides), broadcast)
+    if plan.broadcast:
+        m = match(facts.select(*ADDRESS_KEYS, "year"), sides, "all", plan=plan)
+        return m.groupBy("physical_id", "year").agg(F.count(F.lit(1)).alias("cnt"))
+    addresses = count_long(facts, ADDRESS_KEYS + ["year"])
+    m = match(addresses, sides, "all", plan=plan, salt=salt)
+    return m.groupBy("physical_id", "year").agg(F.sum("cnt").cast("bigint").alias("cnt"))
+
+
 def with_trend(counts: DataFrame, years: Sequence[int], digits: int) -> DataFrame:
     """Adds ols_coeff (rounded slope over the year columns), sorted by id."""
     ycols = year_columns(years)

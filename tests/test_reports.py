@@ -90,3 +90,13 @@ def test_join_first_and_preaggregate_plans_agree(spark, make):
     c = make(v, s, fixtures.FIXTURE_YEARS, broadcast=False, salt=3)
     assert a.collect() == b.collect() == c.collect()
     assert "SortMergeJoin" in b._jdf.queryExecution().executedPlan().toString()
+
+
+def test_counts_per_id_year_both_plans(spark):
+    from curbline.operators import clean_facts, clean_segments, matchable, segment_sides
+    v, s = fixtures.violations(spark, SF001), fixtures.segments(spark, SF001)
+    facts = matchable(clean_facts(v, fixtures.FIXTURE_YEARS))
+    sides = segment_sides(clean_segments(s))
+    a = sorted(reports.counts_per_id_year(facts, sides, broadcast=True).collect())
+    b = sorted(reports.counts_per_id_year(facts, sides, broadcast=False, salt=2).collect())
+    assert a == b and sum(r["cnt"] for r in a) == 388
