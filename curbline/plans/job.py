@@ -3,7 +3,7 @@
     spark-submit --py-files curbline.zip curbline/plans/job.py OUTPUT \
         --violations DIR --segments FILE
         [--report final|r3|clean|matched|counts] [--years 2015-2019]
-        [--staged] [--mode errorifexists|overwrite]
+        [--staged] [--by-position] [--mode errorifexists|overwrite]
 
 (or ``python -m curbline.plans.job ...`` against a configured master).
 
@@ -44,6 +44,8 @@ def build_parser() -> argparse.ArgumentParser:
                    choices=["final", "r3", "clean", "matched", "counts"])
     p.add_argument("--years", type=parse_years, default=reports.REFERENCE_YEARS)
     p.add_argument("--staged", action="store_true", help="events are staged Parquet")
+    p.add_argument("--by-position", action="store_true",
+                   help="pick event CSV fields by position, not header name")
     p.add_argument("--mode", default="errorifexists", choices=["errorifexists", "overwrite"])
     return p
 
@@ -53,7 +55,8 @@ def report(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
         years = None if args.report == "counts" else args.years
         violations = staging.read_staged_violations(spark, args.violations, years)
     else:
-        violations = csv_io.read_violations_csv(spark, args.violations)
+        violations = csv_io.read_violations_csv(spark, args.violations,
+                                                by_position=args.by_position)
     segments = csv_io.read_segments_csv(spark, args.segments)
     y = args.years
     if args.report == "final":

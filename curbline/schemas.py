@@ -34,6 +34,15 @@ VIOLATION_CSV_COLUMNS = {
     "Violation County": "county",
     "Issue Date": "issue_date",
 }
+# 0-based positions of the used fields in the public event CSV
+# layout (for files whose header names differ or are missing).
+VIOLATION_CSV_POSITIONS = {
+    "vid": 0,
+    "issue_date": 4,
+    "county": 21,
+    "house_number": 23,
+    "street_name": 24,
+}
 SEGMENT_CSV_COLUMNS = {
     "OBJECTID": "seg_ord",
     "PHYSICALID": "physical_id",

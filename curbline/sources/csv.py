@@ -15,7 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from curbline.schemas import SEGMENT_CSV_COLUMNS, VIOLATION_CSV_COLUMNS, year_columns
+from curbline.schemas import (
+    SEGMENT_CSV_COLUMNS, VIOLATION_CSV_COLUMNS, VIOLATION_CSV_POSITIONS, year_columns,
+)
 from curbline.session import scratch_path
 
 CSV_OPTIONS = {"header": "true", "escape": '"'}
@@ -48,10 +50,21 @@ def _rename(df: DataFrame, mapping: dict[str, str], order_col: str,
     return df.select(*cols)
 
 
-def read_violations_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """A directory (or file) of event CSVs -> schema VIOLATION."""
-    return _rename(_scan(spark, path, multi_line), VIOLATION_CSV_COLUMNS, "vid",
-                   {"vid": "bigint"})
+def read_violations_csv(spark: SparkSession, path: str, multi_line: bool = True,
+                        by_position: bool = False) -> DataFrame:
+    """A directory (or file) of event CSVs -> schema VIOLATION.
+
+    Columns are found by header name, or with ``by_position`` at the fixed
+    positions of the public layout (S3); the header line is skipped either way.
+    """
+    raw = _scan(spark, path, multi_line)
+    if by_position:
+        out = []
+        for name in VIOLATION_CSV_COLUMNS.values():          # schema order
+            c = F.col(f"`{raw.columns[VIOLATION_CSV_POSITIONS[name]]}`")
+            out.append((c.try_cast("bigint") if name == "vid" else c).alias(name))
+        return raw.select(*out)
+    return _rename(raw, VIOLATION_CSV_COLUMNS, "vid", {"vid": "bigint"})
 
 
 def read_segments_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:

@@ -90,3 +90,21 @@ def test_command_line_job(spark):
     back2 = csv_io.read_report_csv(spark, out2, fixtures.FIXTURE_YEARS)
     want2 = reports.trend_matched_segments(v, s, fixtures.FIXTURE_YEARS)
     assert sorted(back2.collect()) == sorted(want2.collect())
+
+
+def test_read_by_position(spark):
+    d = _tmp()
+    path = os.path.join(d, "p.csv")
+    header = ",".join(f"col{i}" for i in range(30))
+    def row(vid, date, county, house, street):
+        vals = [f"x{i}" for i in range(30)]
+        vals[0], vals[4], vals[21], vals[23], vals[24] = str(vid), date, county, house, street
+        return ",".join(vals)
+    with open(path, "w") as fh:
+        fh.write(header + "\n")
+        fh.write(row(7, "06/25/2015", "QNS", "12-34", "MAIN ST") + "\n")
+        fh.write(row(8, "07/01/2016", "K", "7A", "ELM ST") + "\n")
+    df = csv_io.read_violations_csv(spark, path, by_position=True)
+    assert df.columns == ["vid", "house_number", "street_name", "county", "issue_date"]
+    assert sorted(tuple(r) for r in df.collect()) == [
+        (7, "12-34", "MAIN ST", "QNS", "06/25/2015"), (8, "7A", "ELM ST", "K", "07/01/2016")]
