@@ -100,3 +100,17 @@ def test_counts_per_id_year_both_plans(spark):
     a = sorted(reports.counts_per_id_year(facts, sides, broadcast=True).collect())
     b = sorted(reports.counts_per_id_year(facts, sides, broadcast=False, salt=2).collect())
     assert a == b and sum(r["cnt"] for r in a) == 388
+
+
+def test_pivot_years_equals_native_pivot(spark):
+    from curbline.operators import clean_facts, pivot_years, pivot_years_native
+    f = clean_facts(fixtures.violations(spark, SF001), fixtures.FIXTURE_YEARS)
+    keys = ["county", "street", "house", "n1", "n2"]
+    ours = pivot_years(f, keys, fixtures.FIXTURE_YEARS, missing_as_null=True)
+    native = pivot_years_native(f, keys, fixtures.FIXTURE_YEARS)
+    assert sorted(ours.collect()) == sorted(native.select(*ours.columns).collect())
+    # one aggregate (one shuffle) instead of pivot's two
+    plan = ours._jdf.queryExecution().executedPlan().toString()
+    nplan = native._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert nplan.count("Exchange hashpartitioning") == 2
