@@ -108,9 +108,9 @@ def test_pivot_years_equals_native_pivot(spark):
     keys = ["county", "street", "house", "n1", "n2"]
     ours = pivot_years(f, keys, fixtures.FIXTURE_YEARS, missing_as_null=True)
     native = pivot_years_native(f, keys, fixtures.FIXTURE_YEARS)
-    assert sorted(ours.collect()) == sorted(native.select(*ours.columns).collect())
-    # one aggregate (one shuffle) instead of pivot's two
+    # one aggregate (one shuffle) instead of pivot's two; plans read before running
     plan = ours._jdf.queryExecution().executedPlan().toString()
     nplan = native._jdf.queryExecution().executedPlan().toString()
+    assert sorted(ours.collect()) == sorted(native.select(*ours.columns).collect())
     assert plan.count("Exchange hashpartitioning") == 1
     assert nplan.count("Exchange hashpartitioning") == 2
