@@ -10,8 +10,8 @@ side row of its street: quadratic for long streets, and a street holding a
 third of all segments would dominate the job. So the range itself becomes a
 key, by **multi-level bucketing** of the house number:
 
-* Level l has bucket width ``B_kind * fanout**l``. ``B_kind`` is the median
-  range width of that kind of row (measured, or given).
+* Level l has bucket width ``B_kind * fanout**l``. ``B_kind`` is the power
+  of two above the median range width of that kind of row (or given).
 * A side row is placed at the lowest level where its range covers at most
   ``fanout`` buckets, and is repeated once per covered bucket.
 * An event probes one bucket per level: (level, n1 // width(level)).
@@ -22,9 +22,10 @@ range -- and the build side grows by at most ``fanout + 1`` rows per side
 row, the probe side by the (small) number of levels.
 
 Strategy: the side table is a dimension. One aggregate job over it measures
-row count, longest street name and range widths; from these an *upper bound*
-of the broadcast hash relation is computed (rows after bucketing are bounded
-by sum(width)/B + 2 * rows). Only when that bound is below
+the range widths and the longest value of every string column; from these an
+*upper bound* of the broadcast hash relation is computed, tightened by an
+exact count of the bucketed rows when needed (``plan_match``). Only the payload
+columns a caller needs travel with it. Only when that bound is below
 ``curbline.broadcast.maxBytes`` (default 128 MiB) is the side broadcast, and
 the events are never shuffled for the join. Otherwise the join is a shuffled
 sort-merge equi-join on all the keys above (hinted, so that no low static
@@ -40,17 +41,18 @@ no group is ever collected in one place).
 from __future__ import annotations
 
 import functools
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 EQUI_KEYS = ["boro", "street", "parity"]
 JOIN_KEYS = EQUI_KEYS + ["kind", "level", "bucket"]
 SEGMENT_OUT = ["seg_ord", "physical_id", "side", "name_role"]
 DEFAULT_BROADCAST_MAX_BYTES = 128 * 1024 * 1024
 DEFAULT_FANOUT = 16
-PROBE_COLUMNS = SEGMENT_OUT + EQUI_KEYS + ["kind", "lo", "hi", "lo2", "hi2"]
 
 
 def range_condition() -> Column:
@@ -60,21 +62,23 @@ def range_condition() -> Column:
         n2.isNull() | n2.between(F.col("lo2"), F.col("hi2")))
 
 
-def probe_rows(sides: DataFrame) -> DataFrame:
+def probe_rows(sides: DataFrame, payload: Sequence[str] = SEGMENT_OUT) -> DataFrame:
     """Side rows split by the kind of number they can match.
 
     kind 0 (simple number): range s_lo..s_hi. kind 1 (compound): lo1..hi1 for
     the first part, lo2..hi2 for the second. Empty or NULL ranges are dropped.
+    Only the ``payload`` columns travel with the build side.
     """
+    payload = list(payload)
     simple = F.struct(F.lit(0).alias("kind"), F.col("s_lo").alias("lo"),
                       F.col("s_hi").alias("hi"), F.lit(None).cast("int").alias("lo2"),
                       F.lit(None).cast("int").alias("hi2"))
     compound = F.struct(F.lit(1).alias("kind"), F.col("lo1").alias("lo"),
                         F.col("hi1").alias("hi"), F.col("lo2").alias("lo2"),
                         F.col("hi2").alias("hi2"))
-    rows = sides.select(*SEGMENT_OUT, *EQUI_KEYS,
+    rows = sides.select(*payload, *EQUI_KEYS,
                         F.explode(F.array(simple, compound)).alias("p")).select(
-        *SEGMENT_OUT, *EQUI_KEYS, "p.*")
+        *payload, *EQUI_KEYS, "p.*")
     ok = (F.col("lo") <= F.col("hi")) & (
         (F.col("kind") == 0) | (F.col("lo2") <= F.col("hi2")))
     return rows.where(ok)
@@ -90,24 +94,43 @@ class MatchPlan:
     broadcast: bool
 
 
+ENTRY_OVERHEAD = 48                     # hash-map slot, pointers, length words
+
+
+def _span(width: int) -> Column:
+    return F.floor(F.col("hi") / width) - F.floor(F.col("lo") / width) + 1
+
+
 def plan_match(probe: DataFrame, broadcast: bool | None = None,
                bucket_width: int | None = None, fanout: int = DEFAULT_FANOUT) -> MatchPlan:
-    """Measure the build side (one small job) and choose bucketing and strategy."""
+    """Measure the build side and choose bucketing and strategy.
+
+    One small aggregate gives, per kind of row, the median, widest and total
+    range width and the row count, plus the longest value of every string
+    column. The base width is the smallest power of two above the median (or
+    ``bucket_width``). A row covers at most ``width / base + 2`` buckets, which
+    bounds the bucketed rows; with the string lengths this gives a proven
+    upper bound of the broadcast hash relation: rows x (value row + key row +
+    entry overhead). Only if that loose bound exceeds the limit, a second
+    aggregate counts the bucketed rows exactly (``least(covered, fanout + 1)``
+    per row: exact at level 0, an upper bound for rows placed higher).
+    """
     if fanout < 2:
         raise ValueError("fanout must be >= 2")
+    strings = [f.name for f in probe.schema.fields if isinstance(f.dataType, T.StringType)]
     w = F.col("hi") - F.col("lo")
-    aggs = [F.count(F.lit(1)).alias("n"), F.max(F.length("street")).alias("slen")]
+    aggs = [F.max(F.length(c)).alias(f"len_{c}") for c in strings]
     for k in (0, 1):
         wk = F.when(F.col("kind") == k, w)
-        aggs += [F.percentile_approx(wk, 0.5).alias(f"med{k}"),
-                 F.max(wk).alias(f"max{k}"), F.sum(wk).alias(f"sum{k}"),
-                 F.count(wk).alias(f"n{k}")]
+        aggs += [F.percentile_approx(wk, 0.5).alias(f"med{k}"), F.max(wk).alias(f"max{k}"),
+                 F.sum(wk).alias(f"sum{k}"), F.count(wk).alias(f"n{k}")]
     st = probe.agg(*aggs).first()
     widths = []
     levels = 1
-    bound_rows = 0
+    loose_rows = 0
     for k in (0, 1):
-        base = bucket_width or max(1, int(st[f"med{k}"] or 0) + 1)
+        med = int(st[f"med{k}"] or 0)
+        base = bucket_width or 1 << max(0, med).bit_length()      # power of two > median
         widths.append(base)
         widest = int(st[f"max{k}"] or 0)
         # lowest level whose bucket width lets the widest range span <= fanout
@@ -115,15 +138,21 @@ def plan_match(probe: DataFrame, broadcast: bool | None = None,
         while widest // (base * fanout ** (lv - 1)) + 2 > fanout:
             lv += 1
         levels = max(levels, lv)
-        # rows after bucketing: each row covers <= width/base + 2 buckets
-        bound_rows += int(st[f"sum{k}"] or 0) // base + 2 * int(st[f"n{k}"] or 0)
-    slen = int(st["slen"] or 0)
-    fixed = 8 + 8 * (len(PROBE_COLUMNS) + 2)        # null bits + one slot per column
-    var = ((slen + 7) // 8) * 8 + 8 + 8             # street, side, name_role
-    size_bound = bound_rows * 2 * (fixed + var)     # x2 for the hash table
+        loose_rows += int(st[f"sum{k}"] or 0) // base + 2 * int(st[f"n{k}"] or 0)
+    pad = {c: ((int(st[f"len_{c}"] or 0) + 7) // 8) * 8 for c in strings}
+    value_row = 8 + 8 * (len(probe.columns) + 2) + sum(pad.values())   # + level, bucket
+    key_row = 8 + 8 * len(JOIN_KEYS) + pad.get("street", 0)
+    per_row = value_row + key_row + ENTRY_OVERHEAD
+    conf = probe.sparkSession.conf.get("curbline.broadcast.maxBytes", None)
+    limit = int(conf) if conf else DEFAULT_BROADCAST_MAX_BYTES
+    size_bound = loose_rows * per_row
+    if size_bound > limit and broadcast is None:
+        cap = F.lit(fanout + 1)
+        exact = probe.agg(*[
+            F.sum(F.when(F.col("kind") == k, F.least(_span(widths[k]), cap))).alias(f"r{k}")
+            for k in (0, 1)]).first()
+        size_bound = (int(exact["r0"] or 0) + int(exact["r1"] or 0)) * per_row
     if broadcast is None:
-        conf = probe.sparkSession.conf.get("curbline.broadcast.maxBytes", None)
-        limit = int(conf) if conf else DEFAULT_BROADCAST_MAX_BYTES
         broadcast = size_bound <= limit
     return MatchPlan((widths[0], widths[1]), levels, fanout, size_bound, broadcast)
 
@@ -172,16 +201,21 @@ def match(
     bucket_width: int | None = None,
     fanout: int = DEFAULT_FANOUT,
     plan: MatchPlan | None = None,
+    payload: Sequence[str] = SEGMENT_OUT,
 ) -> DataFrame:
-    """Join events (columns boro, street, parity, n1, n2 + payload) to sides.
+    """Join events (columns boro, street, parity, n1, n2 + more) to sides.
 
-    Returns the event columns plus seg_ord, physical_id, side, name_role
-    (policy 'all') or seg_ord, physical_id (policy 'first'). ``plan`` reuses a
-    measurement of a superset of ``sides`` (its size bound still holds).
+    Returns the event columns plus the side columns in ``payload`` (default
+    seg_ord, physical_id, side, name_role) for policy 'all', or plus seg_ord,
+    physical_id for policy 'first'. ``plan`` reuses a measurement of a
+    superset of ``sides`` with at least this payload (its bound still holds).
     """
     if policy not in ("all", "first"):
         raise ValueError(f"unknown policy {policy!r}")
-    probe = probe_rows(sides)
+    payload = list(payload)
+    if policy == "first":
+        payload = ["seg_ord", "physical_id"]
+    probe = probe_rows(sides, payload)
     if plan is None:
         plan = plan_match(probe, broadcast, bucket_width, fanout)
     build = bucketed_build(probe, plan)
@@ -199,7 +233,7 @@ def match(
         # splits skewed partitions
         build = build.hint("merge")
     joined = stream.join(build, on=keys, how="inner").where(range_condition())
-    joined = joined.select(*facts.columns, *SEGMENT_OUT)
+    joined = joined.select(*facts.columns, *payload)
     if policy == "all":
         return joined
     return joined.groupBy(*facts.columns).agg(

@@ -59,18 +59,20 @@ def yearly_counts(
     facts = matchable(clean_facts(violations, years, aliases))
     seg = clean_segments(segments)
     sides = segment_sides(seg)
-    plan = plan_match(probe_rows(sides), broadcast)
+    payload = ["physical_id"]
+    plan = plan_match(probe_rows(sides, payload), broadcast)
     id_rows = {"raw": segments, "clean": seg, None: None}[ids]
     id_rows = None if id_rows is None else id_rows.select("physical_id")
     if plan.broadcast:
         events = facts.select(*ADDRESS_KEYS, "year")
-        matched = match(events, sides, "all", plan=plan).select("physical_id", "year")
+        matched = match(events, sides, "all", plan=plan, payload=payload).select(
+            "physical_id", "year")
         if id_rows is not None:
             matched = matched.unionByName(
                 id_rows.select("physical_id", F.lit(None).cast("int").alias("year")))
         return pivot_years(matched, ["physical_id"], years)
     addresses = pivot_years(facts, ADDRESS_KEYS, years)
-    matched = match(addresses, sides, "all", plan=plan, salt=salt)
+    matched = match(addresses, sides, "all", plan=plan, salt=salt, payload=payload)
     return totals_with_all_ids(matched, id_rows, ycols)
 
 
@@ -81,12 +83,13 @@ def counts_per_id_year(facts: DataFrame, sides: DataFrame,
     Join first when the sides are broadcast (events stay in place), else
     count per address and year before the shuffled join (as ``yearly_counts``).
     """
-    plan = plan_match(probe_rows(sides), broadcast)
+    payload = ["physical_id"]
+    plan = plan_match(probe_rows(sides, payload), broadcast)
     if plan.broadcast:
-        m = match(facts.select(*ADDRESS_KEYS, "year"), sides, "all", plan=plan)
+        m = match(facts.select(*ADDRESS_KEYS, "year"), sides, "all", plan=plan, payload=payload)
         return m.groupBy("physical_id", "year").agg(F.count(F.lit(1)).alias("cnt"))
     addresses = count_long(facts, ADDRESS_KEYS + ["year"])
-    m = match(addresses, sides, "all", plan=plan, salt=salt)
+    m = match(addresses, sides, "all", plan=plan, salt=salt, payload=payload)
     return m.groupBy("physical_id", "year").agg(F.sum("cnt").cast("bigint").alias("cnt"))
 
 

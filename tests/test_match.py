@@ -179,3 +179,21 @@ def test_hot_key_third_of_rows(spark):
     rep = reports.trend_report(v, s, Y, broadcast=False, salt=4)
     total = rep.selectExpr("sum(y1995 + y1996 + y1997 + y1998 + y1999)").first()[0]
     assert total == len(want)
+
+
+def test_size_bound_is_an_upper_bound(spark, small):
+    from curbline.operators.match import bucketed_build
+    facts, s = small
+    probe = probe_rows(segment_sides(clean_segments(s)))
+    plan = plan_match(probe)
+    build = bucketed_build(probe, plan)
+    rows = build.count()
+    assert plan.size_bound >= rows * 100          # at least ~100 bytes per row counted
+    # the exact path (forced by a tiny limit) never counts fewer rows than exist
+    spark.conf.set("curbline.broadcast.maxBytes", "1")
+    try:
+        tight = plan_match(probe)
+    finally:
+        spark.conf.unset("curbline.broadcast.maxBytes")
+    assert tight.size_bound <= plan.size_bound and not tight.broadcast
+    assert tight.size_bound >= rows * 100
