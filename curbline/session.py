@@ -40,8 +40,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for written intermediate tables.
 
     Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only
-    when neither is set -- local tests and the benchmark -- a fresh folder is
-    created and registered as the checkpoint dir, so later calls agree.
+    when neither is set *and* the session is local (tests, the benchmark) a
+    fresh folder is created and registered as the checkpoint dir, so later
+    calls agree; on a cluster a missing setting is an error.
     """
     try:
         sc = spark.sparkContext
@@ -50,6 +51,11 @@ def shared_dir(spark: SparkSession) -> str:
     found = (sc.getCheckpointDir() if sc is not None else None) or \
         spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        master = spark.conf.get("spark.master", "") or ""
+        if master and not master.startswith("local"):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a folder shared by all executors; "
+                "a machine-local folder is only used for local[...] sessions")
         found = tempfile.mkdtemp(prefix="curbline-ckpt-")
         if sc is not None:
             sc.setCheckpointDir(found)
