@@ -26,7 +26,7 @@ the range widths and the longest value of every string column; from these an
 *upper bound* of the broadcast hash relation is computed, tightened by an
 exact count of the bucketed rows when needed (``plan_match``). Only the payload
 columns a caller needs travel with it. Only when that bound is below
-``curbline.broadcast.maxBytes`` (default 128 MiB) is the side broadcast, and
+``curbline.broadcast.maxBytes`` (default 256 MiB) is the side broadcast, and
 the events are never shuffled for the join. Otherwise the join is a shuffled
 sort-merge equi-join on all the keys above (hinted, so that no low static
 estimate broadcasts it anyway); the bucket key spreads a hot street over many
@@ -51,7 +51,7 @@ from pyspark.sql import types as T
 EQUI_KEYS = ["boro", "street", "parity"]
 JOIN_KEYS = EQUI_KEYS + ["kind", "level", "bucket"]
 SEGMENT_OUT = ["seg_ord", "physical_id", "side", "name_role"]
-DEFAULT_BROADCAST_MAX_BYTES = 128 * 1024 * 1024
+DEFAULT_BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 DEFAULT_FANOUT = 16
 
 
