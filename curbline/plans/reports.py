@@ -25,10 +25,23 @@ from curbline.operators import (
     ADDRESS_KEYS, clean_facts, clean_segments, count_long, match, matchable,
     pivot_years, segment_sides, totals_with_all_ids,
 )
-from curbline.operators.match import plan_match, probe_rows
+from curbline.operators.match import coverage_depth, plan_match, probe_rows
 from curbline.schemas import year_columns
 
 REFERENCE_YEARS = (2015, 2016, 2017, 2018, 2019)
+# Join events in place only while an event matches few side rows on average;
+# above this coverage depth, counting per address first shrinks the join.
+JOIN_FIRST_MAX_DEPTH = 4.0
+
+
+def join_first(probe, plan, strategy: str) -> bool:
+    """'join_first', 'preaggregate' or 'auto': broadcast and low coverage depth
+    (measured by one more small aggregate over the build side, only here)."""
+    if strategy == "join_first":
+        return True
+    if strategy == "preaggregate" or not plan.broadcast:
+        return False
+    return coverage_depth(probe) <= JOIN_FIRST_MAX_DEPTH
 
 
 def yearly_counts(
@@ -39,31 +52,36 @@ def yearly_counts(
     ids: str | None = "raw",
     broadcast: bool | None = None,
     salt: int = 1,
+    strategy: str = "auto",
 ) -> DataFrame:
     """physical_id, y<year>... : matches per segment id and year (policy 'all').
 
     ``ids`` chooses which ids appear without matches: 'raw' every id of the
     segment table, 'clean' ids surviving cleaning, None only matched ids.
 
-    Two plans, chosen by the size check of the segment sides:
-
-    * broadcast: events probe the broadcast sides where they are (no shuffle
-      for the join) and only then are counted per (id, year). The shuffle is
-      the partial aggregate over (id, year), whose key space is segments x
-      years, far smaller than the distinct addresses of a large input.
-    * otherwise: events are first counted per address and year (partial +
-      final aggregate), so the shuffled sort-merge join moves one row per
-      address instead of one per event.
+    Two plans, chosen from the measured segment sides (``strategy='auto'``):
+
+    * join first -- the sides are broadcast and an event matches few rows
+      (coverage depth <= JOIN_FIRST_MAX_DEPTH, as on real centerlines): events
+      probe the broadcast sides where they are and only then are counted per
+      (id, year). The only shuffle is that partial aggregate, whose key space
+      is segments x years, far smaller than the distinct addresses.
+    * count first -- otherwise: events are first counted per address and year
+      (partial + final aggregate), so the join handles one row per address
+      instead of one per event: it is a shuffled sort-merge join when the
+      sides are too big to broadcast, and when ranges pile up (high depth)
+      the join output shrinks by the events-per-address factor.
     """
     ycols = year_columns(years)
     facts = matchable(clean_facts(violations, years, aliases))
     seg = clean_segments(segments)
     sides = segment_sides(seg)
     payload = ["physical_id"]
-    plan = plan_match(probe_rows(sides, payload), broadcast)
+    probe = probe_rows(sides, payload)
+    plan = plan_match(probe, broadcast)
     id_rows = {"raw": segments, "clean": seg, None: None}[ids]
     id_rows = None if id_rows is None else id_rows.select("physical_id")
-    if plan.broadcast:
+    if join_first(probe, plan, strategy):
         events = facts.select(*ADDRESS_KEYS, "year")
         matched = match(events, sides, "all", plan=plan, payload=payload).select(
             "physical_id", "year")
@@ -77,15 +95,17 @@ def yearly_counts(
 
 
 def counts_per_id_year(facts: DataFrame, sides: DataFrame,
-                       broadcast: bool | None = None, salt: int = 1) -> DataFrame:
+                       broadcast: bool | None = None, salt: int = 1,
+                       strategy: str = "auto") -> DataFrame:
     """physical_id, year, cnt over matched (event, segment row) pairs.
 
-    Join first when the sides are broadcast (events stay in place), else
-    count per address and year before the shuffled join (as ``yearly_counts``).
+    Same choice as ``yearly_counts``: join events in place when the sides are
+    broadcast and shallow, else count per address and year before the join.
     """
     payload = ["physical_id"]
-    plan = plan_match(probe_rows(sides, payload), broadcast)
-    if plan.broadcast:
+    probe = probe_rows(sides, payload)
+    plan = plan_match(probe, broadcast)
+    if join_first(probe, plan, strategy):
         m = match(facts.select(*ADDRESS_KEYS, "year"), sides, "all", plan=plan, payload=payload)
         return m.groupBy("physical_id", "year").agg(F.count(F.lit(1)).alias("cnt"))
     addresses = count_long(facts, ADDRESS_KEYS + ["year"])
@@ -105,9 +125,11 @@ def with_trend(counts: DataFrame, years: Sequence[int], digits: int) -> DataFram
 def trend_report(violations: DataFrame, segments: DataFrame,
                  years: Sequence[int] = REFERENCE_YEARS, digits: int = 7,
                  aliases: str = "final", ids: str | None = "raw",
-                 broadcast: bool | None = None, salt: int = 1) -> DataFrame:
+                 broadcast: bool | None = None, salt: int = 1,
+                 strategy: str = "auto") -> DataFrame:
     """Q1: every segment id, its yearly match counts and their trend."""
-    counts = yearly_counts(violations, segments, years, aliases, ids, broadcast, salt)
+    counts = yearly_counts(violations, segments, years, aliases, ids, broadcast, salt,
+                           strategy)
     return with_trend(counts, years, digits)
 
 

@@ -114,3 +114,25 @@ def test_pivot_years_equals_native_pivot(spark):
     assert sorted(ours.collect()) == sorted(native.select(*ours.columns).collect())
     assert plan.count("Exchange hashpartitioning") == 1
     assert nplan.count("Exchange hashpartitioning") == 2
+
+
+@pytest.mark.parametrize("strategy", ["auto", "join_first", "preaggregate"])
+def test_strategies_agree(spark, strategy):
+    v, s = fixtures.violations(spark, SF001), fixtures.segments(spark, SF001)
+    want = reports.trend_report(v, s, fixtures.FIXTURE_YEARS, strategy="preaggregate").collect()
+    got = reports.trend_report(v, s, fixtures.FIXTURE_YEARS, strategy=strategy).collect()
+    assert got == want
+
+
+def test_coverage_depth(spark):
+    from curbline.operators import clean_segments, segment_sides
+    from curbline.operators.match import coverage_depth, probe_rows
+    tiles = spark.createDataFrame(
+        [(i, i, 1, "A", 0, "R", "full", 10 * i, 10 * i + 9, None, None, None, None) for i in range(50)],
+        "seg_ord long, physical_id long, boro int, street string, parity int, side string, "
+        "name_role string, s_lo int, s_hi int, lo1 int, hi1 int, lo2 int, hi2 int")
+    assert coverage_depth(probe_rows(tiles)) == pytest.approx(1.0)
+    piled = tiles.withColumn("s_lo", tiles.s_lo * 0).withColumn("s_hi", tiles.s_hi * 0 + 9)
+    assert coverage_depth(probe_rows(piled)) == pytest.approx(50.0)
+    d = coverage_depth(probe_rows(segment_sides(clean_segments(fixtures.segments(spark, SF001)))))
+    assert 0.5 < d < 2.0
