@@ -1,16 +1,18 @@
 """Whole queries: the trend report and its variants (Q1-Q5).
 
-Plan of the trend report (Q1), when the segment sides pass the size check:
-
-    events --clean/prune (pushed into the scan)--> broadcast hash join with
-    bucketed segment sides (events do not move) --> union with a NULL-year
-    row per segment id --> count per id and year (partial + final, one
-    shuffle over at most segments x years keys) --> slope as a column
-    expression --> sort by id.
-
-Otherwise events are counted per address and year first, so the shuffled
-join moves one row per address (see ``yearly_counts``). A hot address,
-street or id collapses inside every map task in both plans.
+The trend report (Q1) has two plans, chosen from the measured segment sides
+(see ``yearly_counts``):
+
+    join first:  events --clean/prune (pushed into the scan)--> broadcast
+                 hash join with the bucketed sides (events do not move)
+                 --> union with a NULL-year row per id --> count per id and
+                 year (partial + final) --> slope column --> sort by id
+    count first: events --clean/prune--> count per address and year
+                 (partial + final) --> bucketed join (broadcast or sort-merge)
+                 --> union with zero rows per id --> sum per id --> slope
+                 column --> sort by id
+
+A hot address, street or id collapses inside every map task in both plans.
 """
 
 from __future__ import annotations
