@@ -46,20 +46,27 @@ def main() -> None:
     qs = registry.QUERIES
     # warm-up: JVM, code generation caches, file listing
     run(qs["segment_trend_report"](spark, sf_dir))
-    times = {}
+    times: dict[str, float | None] = {}
+    errors = {}
     for name in HEADLINE:
         t0 = time.perf_counter()
-        run(qs[name](spark, sf_dir))
-        times[name] = round(time.perf_counter() - t0, 3)
+        try:
+            run(qs[name](spark, sf_dir))
+            times[name] = round(time.perf_counter() - t0, 3)
+        except Exception as exc:  # noqa: BLE001 - report, keep measuring the rest
+            times[name] = None
+            errors[name] = str(exc)[:300]
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {
         "metric": "headline_queries_total_wall",
-        "value": round(sum(times.values()), 3),
+        "value": round(sum(t for t in times.values() if t is not None), 3),
         "unit": "sec",
         "queries": times,
         "sf": float(m.group(1)) if m else None,
         "cpus": int(cpus),
     }
+    if errors:
+        out["errors"] = errors
     print(json.dumps(out))
     spark.stop()
 
