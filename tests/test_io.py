@@ -108,3 +108,20 @@ def test_read_by_position(spark):
     assert df.columns == ["vid", "house_number", "street_name", "county", "issue_date"]
     assert sorted(tuple(r) for r in df.collect()) == [
         (7, "12-34", "MAIN ST", "QNS", "06/25/2015"), (8, "7A", "ELM ST", "K", "07/01/2016")]
+
+
+def test_csv_scan_reads_only_used_columns(spark):
+    d = _tmp()
+    path = os.path.join(d, "wide.csv")
+    cols = ["Summons Number", "Plate ID", "Registration State", "Plate Type", "Issue Date"] + \
+        [f"Extra {i}" for i in range(16)] + ["Violation County", "Front Of", "House Number",
+                                              "Street Name", "More"]
+    with open(path, "w") as fh:
+        fh.write(",".join(f'"{c}"' for c in cols) + "\n")
+        fh.write(",".join(["1", "P", "NY", "PAS", "06/25/2015"] + ["x"] * 16
+                          + ["QNS", "F", "12-34", "MAIN ST", "m"]) + "\n")
+    df = csv_io.read_violations_csv(spark, path)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    schema = plan[plan.index("ReadSchema: "):].split("\n")[0]
+    assert "Summons Number" in schema and "Plate" not in schema and "Extra" not in schema
+    assert df.collect()[0]["street_name"] == "MAIN ST"
