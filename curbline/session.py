@@ -103,3 +103,23 @@ def apply_settings(spark: SparkSession, settings: dict[str, str]) -> None:
     """Set runtime SQL settings on an existing session."""
     for k, v in settings.items():
         spark.conf.set(k, v)
+
+
+def submit_settings() -> dict[str, str]:
+    """Settings for ``spark-submit --conf`` that let a long run ride out lost
+    executors (they cannot be changed on a running session).
+
+    Decommissioned executors hand their shuffle and cached blocks to the
+    others before leaving, so finished map output is not recomputed; fetch
+    and task retries are raised for a 1000-executor cluster.
+    """
+    return {
+        "spark.decommission.enabled": "true",
+        "spark.storage.decommission.enabled": "true",
+        "spark.storage.decommission.shuffleBlocks.enabled": "true",
+        "spark.storage.decommission.rddBlocks.enabled": "true",
+        "spark.task.maxFailures": "8",
+        "spark.stage.maxConsecutiveAttempts": "8",
+        "spark.shuffle.io.maxRetries": "10",
+        "spark.shuffle.io.retryWait": "10s",
+    }

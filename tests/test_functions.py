@@ -154,3 +154,10 @@ def test_scale_settings():
     small = scale_settings(10 * 1024 ** 2, 8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_submit_settings():
+    from curbline.session import submit_settings
+    s = submit_settings()
+    assert s["spark.storage.decommission.shuffleBlocks.enabled"] == "true"
+    assert int(s["spark.task.maxFailures"]) > 4
