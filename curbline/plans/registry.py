@@ -428,7 +428,7 @@ _SUMS = f", sums AS (SELECT physical_id, {', '.join(f'CAST(sum({c}) AS BIGINT) A
 def _matched_wide(spark, d, aliases="final"):
     facts = matchable(_facts(spark, d, aliases=aliases))
     addresses = pivot_years(facts, ADDRESS_KEYS, Y)
-    return match(addresses, _sides(spark, d), "all")
+    return match(addresses, _sides(spark, d), "all", payload=["seg_ord", "physical_id"])
 
 
 @register("sum_years_by_id", _JOINED_WIDE + _SUMS + f"\nSELECT physical_id, {YSEL} FROM sums")
