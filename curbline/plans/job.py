@@ -3,7 +3,7 @@
     spark-submit --py-files curbline.zip curbline/plans/job.py OUTPUT \
         --violations DIR --segments FILE
         [--report final|r3|clean|matched|counts] [--years 2015-2019]
-        [--staged] [--by-position] [--mode errorifexists|overwrite]
+        [--staged] [--by-position] [--mode errorifexists|overwrite] [--checkpoint]
 
 (or ``python -m curbline.plans.job ...`` against a configured master).
 
@@ -47,6 +47,8 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--by-position", action="store_true",
                    help="pick event CSV fields by position, not header name")
     p.add_argument("--mode", default="errorifexists", choices=["errorifexists", "overwrite"])
+    p.add_argument("--checkpoint", action="store_true",
+                   help="checkpoint the counts after the event scan (spark.checkpoint.dir)")
     return p
 
 
@@ -59,14 +61,15 @@ def report(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
                                                 by_position=args.by_position)
     segments = csv_io.read_segments_csv(spark, args.segments)
     y = args.years
+    kw = {"checkpoint": args.checkpoint}
     if args.report == "final":
-        return reports.trend_report(violations, segments, y)
+        return reports.trend_report(violations, segments, y, **kw)
     if args.report == "r3":
-        return reports.trend_report_r3(violations, segments, y)
+        return reports.trend_report_r3(violations, segments, y, **kw)
     if args.report == "clean":
-        return reports.trend_clean_segments(violations, segments, y)
+        return reports.trend_clean_segments(violations, segments, y, **kw)
     if args.report == "matched":
-        return reports.trend_matched_segments(violations, segments, y)
+        return reports.trend_matched_segments(violations, segments, y, **kw)
     return reports.count_id_year(violations, segments).orderBy("physical_id", "year")
 
 

@@ -29,6 +29,7 @@ from curbline.operators import (
 )
 from curbline.operators.match import coverage_depth, plan_match, probe_rows
 from curbline.schemas import year_columns
+from curbline.session import shared_dir
 
 REFERENCE_YEARS = (2015, 2016, 2017, 2018, 2019)
 # Join events in place only while an event matches few side rows on average;
@@ -55,6 +56,7 @@ def yearly_counts(
     broadcast: bool | None = None,
     salt: int = 1,
     strategy: str = "auto",
+    checkpoint: bool = False,
 ) -> DataFrame:
     """physical_id, y<year>... : matches per segment id and year (policy 'all').
 
@@ -73,6 +75,11 @@ def yearly_counts(
       instead of one per event: it is a shuffled sort-merge join when the
       sides are too big to broadcast, and when ranges pile up (high depth)
       the join output shrinks by the events-per-address factor.
+
+    ``checkpoint`` writes the aggregate that ends the event scan (counts per
+    id and year, or per address and year) to the shared checkpoint folder
+    and cuts the lineage there: executors lost afterwards cost a re-read of
+    that small table, not a rescan of the events. It runs that part eagerly.
     """
     ycols = year_columns(years)
     facts = matchable(clean_facts(violations, years, aliases))
@@ -90,12 +97,20 @@ def yearly_counts(
         if id_rows is not None:
             matched = matched.unionByName(
                 id_rows.select("physical_id", F.lit(None).cast("int").alias("year")))
-        return pivot_years(matched, ["physical_id"], years)
-    addresses = pivot_years(facts, ADDRESS_KEYS, years)
+        return _cut(pivot_years(matched, ["physical_id"], years), checkpoint)
+    addresses = _cut(pivot_years(facts, ADDRESS_KEYS, years), checkpoint)
     matched = match(addresses, sides, "all", plan=plan, salt=salt, payload=payload)
     return totals_with_all_ids(matched, id_rows, ycols)
 
 
+def _cut(df: DataFrame, checkpoint: bool) -> DataFrame:
+    """Reliable checkpoint in the folder named by the session (or unchanged)."""
+    if not checkpoint:
+        return df
+    shared_dir(df.sparkSession)            # ensures the checkpoint folder is set
+    return df.checkpoint(eager=True)
+
+
 def counts_per_id_year(facts: DataFrame, sides: DataFrame,
                        broadcast: bool | None = None, salt: int = 1,
                        strategy: str = "auto") -> DataFrame:
@@ -128,10 +143,10 @@ def trend_report(violations: DataFrame, segments: DataFrame,
                  years: Sequence[int] = REFERENCE_YEARS, digits: int = 7,
                  aliases: str = "final", ids: str | None = "raw",
                  broadcast: bool | None = None, salt: int = 1,
-                 strategy: str = "auto") -> DataFrame:
+                 strategy: str = "auto", checkpoint: bool = False) -> DataFrame:
     """Q1: every segment id, its yearly match counts and their trend."""
     counts = yearly_counts(violations, segments, years, aliases, ids, broadcast, salt,
-                           strategy)
+                           strategy, checkpoint)
     return with_trend(counts, years, digits)
 
 

@@ -136,3 +136,13 @@ def test_coverage_depth(spark):
     assert coverage_depth(probe_rows(piled)) == pytest.approx(50.0)
     d = coverage_depth(probe_rows(segment_sides(clean_segments(fixtures.segments(spark, SF001)))))
     assert 0.5 < d < 2.0
+
+
+@pytest.mark.parametrize("strategy", ["join_first", "preaggregate"])
+def test_checkpoint_cuts_lineage(spark, strategy):
+    v, s = fixtures.violations(spark, SF001), fixtures.segments(spark, SF001)
+    want = reports.trend_report(v, s, fixtures.FIXTURE_YEARS, strategy=strategy).collect()
+    cut = reports.trend_report(v, s, fixtures.FIXTURE_YEARS, strategy=strategy, checkpoint=True)
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" in plan                    # reads the checkpointed table
+    assert cut.collect() == want
