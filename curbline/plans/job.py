@@ -70,7 +70,7 @@ def report(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
         return reports.trend_clean_segments(violations, segments, y, **kw)
     if args.report == "matched":
         return reports.trend_matched_segments(violations, segments, y, **kw)
-    return reports.count_id_year(violations, segments).orderBy("physical_id", "year")
+    return reports.count_id_year(violations, segments, **kw).orderBy("physical_id", "year")
 
 
 def main(argv: list[str] | None = None) -> int:

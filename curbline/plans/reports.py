@@ -177,7 +177,7 @@ def top_by_id(report: DataFrame, n: int = 50) -> DataFrame:
 
 def count_id_year(violations: DataFrame, segments: DataFrame,
                   years: Sequence[int] | None = None,
-                  broadcast: bool | None = None) -> DataFrame:
+                  broadcast: bool | None = None, checkpoint: bool = False) -> DataFrame:
     """Q5: physical_id, year, cnt -- at most one segment per event.
 
     The first version of the job: validated dates (no year range unless
@@ -191,7 +191,7 @@ def count_id_year(violations: DataFrame, segments: DataFrame,
     facts = matchable(clean_facts(violations, years, aliases="no_pbx",
                                   year_mode="parsed", strict_county=True))
     facts = facts.where(F.col("year").isNotNull())
-    addresses = count_long(facts, ADDRESS_KEYS + ["year"])
+    addresses = _cut(count_long(facts, ADDRESS_KEYS + ["year"]), checkpoint)
     sides = segment_sides(clean_segments(segments, drop_nulls=False), strict=True)
     first = match(addresses, sides, "first", broadcast)
     return first.groupBy("physical_id", "year").agg(F.sum("cnt").cast("bigint").alias("cnt"))
