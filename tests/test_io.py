@@ -125,3 +125,23 @@ def test_csv_scan_reads_only_used_columns(spark):
     schema = plan[plan.index("ReadSchema: "):].split("\n")[0]
     assert "Summons Number" in schema and "Plate" not in schema and "Extra" not in schema
     assert df.collect()[0]["street_name"] == "MAIN ST"
+
+
+def test_command_line_counts_with_checkpoint(spark):
+    from pyspark.sql import types as T
+
+    from curbline.plans import job
+    v, s = fixtures.violations(spark, SF001), fixtures.segments(spark, SF001)
+    root = _tmp()
+    vdir, sdir = os.path.join(root, "v"), os.path.join(root, "s")
+    csv_io.write_violations_csv(v, vdir)
+    csv_io.write_segments_csv(s, sdir)
+    out = os.path.join(root, "counts")
+    assert job.main([out, "--violations", vdir, "--segments", sdir, "--report", "counts",
+                     "--checkpoint"]) == 0
+    schema = T.StructType([T.StructField("physical_id", T.LongType()),
+                           T.StructField("year", T.IntegerType()),
+                           T.StructField("cnt", T.LongType())])
+    back = spark.read.schema(schema).csv(out)
+    want = reports.count_id_year(v, s)
+    assert sorted(back.collect()) == sorted(want.collect())
