@@ -310,11 +310,11 @@ def branch_joins(facts: DataFrame, sides: DataFrame,
     for no, (compound, side, role) in BRANCHES.items():
         kind = F.col("n2").isNotNull() if compound else F.col("n2").isNull()
         f = facts.where(kind & (F.col("parity") == (0 if side == "R" else 1)))
-        # every branch joins the same build side (so Spark broadcasts it once
-        # and reuses the exchange); the branch's side and name are kept after
-        m = match(f, sides, "all", plan=plan)
-        out.append(m.where((F.col("side") == side) & (F.col("name_role") == role))
-                    .withColumn("branch", F.lit(no)))
+        # each branch builds from its own side and name (Catalyst would push
+        # such a filter into the build side anyway, so eight broadcasts it is:
+        # this is the reference's shape, kept as a baseline)
+        s = sides.where((F.col("side") == side) & (F.col("name_role") == role))
+        out.append(match(f, s, "all", plan=plan).withColumn("branch", F.lit(no)))
     return out
 
 
