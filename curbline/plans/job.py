@@ -3,7 +3,8 @@
     spark-submit --py-files curbline.zip curbline/plans/job.py OUTPUT \
         --violations DIR --segments FILE
         [--report final|r3|clean|matched|counts] [--years 2015-2019]
-        [--staged] [--by-position] [--mode errorifexists|overwrite] [--checkpoint]
+        [--staged] [--by-position] [--single-line] [--checkpoint]
+        [--mode errorifexists|overwrite]
 
 (or ``python -m curbline.plans.job ...`` against a configured master).
 
@@ -12,6 +13,8 @@ digits), ``r3`` (3 digits), ``clean`` (cleaned ids only), ``matched`` (matched
 ids only, whole-number slope) or ``counts`` (counts per id and year, first
 match). ``--staged`` reads events from the year-partitioned Parquet staging
 table (``curbline.sources.staging``) instead of CSV, with year pruning.
+``--single-line`` reads CSV without multi-line fields, so each file is split
+over many tasks (with multi-line fields a file is one task).
 """
 
 from __future__ import annotations
@@ -46,6 +49,8 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--staged", action="store_true", help="events are staged Parquet")
     p.add_argument("--by-position", action="store_true",
                    help="pick event CSV fields by position, not header name")
+    p.add_argument("--single-line", action="store_true",
+                   help="no field spans lines: split each CSV file over many tasks")
     p.add_argument("--mode", default="errorifexists", choices=["errorifexists", "overwrite"])
     p.add_argument("--checkpoint", action="store_true",
                    help="checkpoint the counts after the event scan (spark.checkpoint.dir)")
@@ -58,8 +63,9 @@ def report(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
         violations = staging.read_staged_violations(spark, args.violations, years)
     else:
         violations = csv_io.read_violations_csv(spark, args.violations,
+                                                multi_line=not args.single_line,
                                                 by_position=args.by_position)
-    segments = csv_io.read_segments_csv(spark, args.segments)
+    segments = csv_io.read_segments_csv(spark, args.segments, multi_line=not args.single_line)
     y = args.years
     kw = {"checkpoint": args.checkpoint}
     if args.report == "final":

@@ -138,7 +138,7 @@ def test_command_line_counts_with_checkpoint(spark):
     csv_io.write_segments_csv(s, sdir)
     out = os.path.join(root, "counts")
     assert job.main([out, "--violations", vdir, "--segments", sdir, "--report", "counts",
-                     "--checkpoint"]) == 0
+                     "--checkpoint", "--single-line"]) == 0
     schema = T.StructType([T.StructField("physical_id", T.LongType()),
                            T.StructField("year", T.IntegerType()),
                            T.StructField("cnt", T.LongType())])
