@@ -157,22 +157,30 @@ def plan_match(probe: DataFrame, broadcast: bool | None = None,
     return MatchPlan((widths[0], widths[1]), levels, fanout, size_bound, broadcast)
 
 
-def coverage_depth(probe: DataFrame) -> float:
-    """How many side rows cover an average house number of their street.
+def depth_profile(probe: DataFrame) -> tuple[float, float]:
+    """(average, worst) number of side rows covering a house number of a street.
 
     Per (boro, street, parity, kind): the numbers covered by all ranges,
     counted with multiplicity, over the span from the lowest to the highest
-    bound; weighted over keys by span. About 1 where segments tile the
-    street (real centerlines); large where ranges pile up. An event then
-    matches about this many rows, so it predicts the join's output per event.
-    One small aggregate over the (dimension-sized) build side.
+    bound. The average is weighted over keys by span; the worst is the
+    largest per-key value. About 1 where segments tile the street (real
+    centerlines); large where ranges pile up or rows are copied. An event
+    matches about this many rows, so it predicts the join's output per event
+    -- on average, and on the hottest street. One small aggregate over the
+    (dimension-sized) build side.
     """
     per_key = probe.groupBy(*EQUI_KEYS, "kind").agg(
         F.sum(F.col("hi") - F.col("lo") + 1).alias("cov"),
         (F.max("hi") - F.min("lo") + 1).alias("span"))
-    row = per_key.agg(F.sum("cov").alias("cov"), F.sum("span").alias("span")).first()
+    row = per_key.agg(F.sum("cov").alias("cov"), F.sum("span").alias("span"),
+                      F.max(F.col("cov") / F.col("span")).alias("worst")).first()
     cov, span = int(row["cov"] or 0), int(row["span"] or 0)
-    return cov / span if span else 0.0
+    return (cov / span if span else 0.0), float(row["worst"] or 0.0)
+
+
+def coverage_depth(probe: DataFrame) -> float:
+    """The average of ``depth_profile``."""
+    return depth_profile(probe)[0]
 
 
 def _level_width(plan: MatchPlan, kind: Column, level: int) -> Column:

@@ -27,14 +27,17 @@ from curbline.operators import (
     ADDRESS_KEYS, clean_facts, clean_segments, count_long, match, matchable,
     pivot_years, segment_sides, totals_with_all_ids,
 )
-from curbline.operators.match import coverage_depth, plan_match, probe_rows
+from curbline.operators.match import depth_profile, plan_match, probe_rows
 from curbline.schemas import year_columns
 from curbline.session import shared_dir
 
 REFERENCE_YEARS = (2015, 2016, 2017, 2018, 2019)
-# Join events in place only while an event matches few side rows on average;
-# above this coverage depth, counting per address first shrinks the join.
+# Join events in place only while an event matches few side rows, on average
+# and on the hottest street (a street whose rows are piled up or copied would
+# multiply every event on it); otherwise counting per address first bounds
+# the join by the distinct addresses.
 JOIN_FIRST_MAX_DEPTH = 4.0
+JOIN_FIRST_MAX_KEY_DEPTH = 32.0
 
 
 def join_first(probe, plan, strategy: str) -> bool:
@@ -44,7 +47,8 @@ def join_first(probe, plan, strategy: str) -> bool:
         return True
     if strategy == "preaggregate" or not plan.broadcast:
         return False
-    return coverage_depth(probe) <= JOIN_FIRST_MAX_DEPTH
+    average, worst = depth_profile(probe)
+    return average <= JOIN_FIRST_MAX_DEPTH and worst <= JOIN_FIRST_MAX_KEY_DEPTH
 
 
 def yearly_counts(

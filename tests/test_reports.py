@@ -146,3 +146,20 @@ def test_checkpoint_cuts_lineage(spark, strategy):
     plan = cut._jdf.queryExecution().optimizedPlan().toString()
     assert "LogicalRDD" in plan                    # reads the checkpointed table
     assert cut.collect() == want
+
+
+def test_hot_street_of_copies_forces_count_first(spark):
+    """Many tiled streets hide one street piled with copies in the average;
+    the worst-street depth still sends the report to count-first."""
+    from curbline.operators.match import depth_profile, plan_match, probe_rows
+    rows = [(i, i, 1, f"S{i % 400}", 0, "R", "full", 10 * (i // 400), 10 * (i // 400) + 9,
+             None, None, None, None) for i in range(8000)]
+    rows += [(9000 + j, 9000, 1, "HOT", 0, "R", "full", 0, 9, None, None, None, None)
+             for j in range(200)]
+    sides = spark.createDataFrame(
+        rows, "seg_ord long, physical_id long, boro int, street string, parity int, side string, "
+              "name_role string, s_lo int, s_hi int, lo1 int, hi1 int, lo2 int, hi2 int")
+    probe = probe_rows(sides, ["physical_id"])
+    average, worst = depth_profile(probe)
+    assert average < reports.JOIN_FIRST_MAX_DEPTH and worst >= 200
+    assert not reports.join_first(probe, plan_match(probe), "auto")
