@@ -6,13 +6,32 @@ and derives the digest columns of its contract from the operator's output.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbline.llm import simhash
+from curbline.llm import pii, simhash
 from curbline.llm.common import table
 
 
+def joined(spans) -> Column:
+    """kind:start:end of an array of spans, comma-joined in its order."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+        ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def count_kind(spans, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document, base and added spans."""
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE_KINDS))
+    return found.select(
+        "doc_id", *[count_kind("spans", k).alias(f"n_{k}") for k in pii.BASE_KINDS],
+        F.sha2(joined(base), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash components: 4-word shingles, at most 4 differing bits."""
     found = simhash.simhash_groups(table(spark, sf_dir, "documents"), shingle=4, distance=4)
@@ -20,6 +39,7 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_pii": op2_pii,
     "op3_simhash": op3_simhash,
 }
 
