@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbline.llm import pii, simhash
+from curbline.llm import langid, pii, simhash
 from curbline.llm.common import table
 
 
@@ -38,9 +38,23 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def id_remainder(modulus: int, column: str = "doc_id") -> Column:
+    """crc32 of the id as text, modulo ``modulus`` (null for a null id)."""
+    return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(modulus))
+
+
+def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; labels of held-out documents (and null ids) teach nothing."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.learn(docs.where(id_remainder(4) != 2))
+    return langid.identify(docs, model).select(
+        "doc_id", F.coalesce(id_remainder(4) == 2, F.lit(True)).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
     "op2_pii": op2_pii,
     "op3_simhash": op3_simhash,
+    "op10_langid": op10_langid,
 }
 
 ORACLE: dict[str, str] = {}
