@@ -9,10 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbline.llm import langid, pii, simhash
+from curbline.llm import langid, pii, simhash, toxicity
 from curbline.llm.common import table
 
 
+TOXIC_FROM = 0.7        # score from which a document counts as toxic
+
+
 def joined(spans) -> Column:
     """kind:start:end of an array of spans, comma-joined in its order."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(
@@ -43,6 +46,16 @@ def id_remainder(modulus: int, column: str = "doc_id") -> Column:
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(modulus))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; labels of held-out documents (and null ids) teach nothing."""
+    labels = table(spark, sf_dir, "labels").where(id_remainder(3) != 1)
+    scored = toxicity.score_toxicity(table(spark, sf_dir, "documents"), labels)
+    return scored.select(
+        "doc_id", F.coalesce(id_remainder(3) == 1, F.lit(True)).alias("held_out"), "score",
+        (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"),
+        F.col("evidence.doc_id").alias("evidence"))
+
+
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; labels of held-out documents (and null ids) teach nothing."""
     docs = table(spark, sf_dir, "documents")
@@ -54,6 +67,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_pii": op2_pii,
     "op3_simhash": op3_simhash,
+    "op7_toxicity": op7_toxicity,
     "op10_langid": op10_langid,
 }
 
