@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbline.llm import langid, pii, simhash, toxicity
+from curbline.llm import decontaminate, langid, pii, simhash, toxicity
 from curbline.llm.common import table
 
 
@@ -56,6 +56,12 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("evidence.doc_id").alias("evidence"))
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, with the item and the share found."""
+    found = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.col("item").alias("item_id"), "share", "first_word", "end_word")
+
+
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; labels of held-out documents (and null ids) teach nothing."""
     docs = table(spark, sf_dir, "documents")
@@ -68,6 +74,7 @@ QUERIES = {
     "op2_pii": op2_pii,
     "op3_simhash": op3_simhash,
     "op7_toxicity": op7_toxicity,
+    "op8_decontaminate": op8_decontaminate,
     "op10_langid": op10_langid,
 }
 
