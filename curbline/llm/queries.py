@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbline.llm import decontaminate, langid, pii, simhash, toxicity
+from curbline.llm import decontaminate, langid, lines, pii, simhash, toxicity
 from curbline.llm.common import table
 
 
@@ -46,6 +46,13 @@ def id_remainder(modulus: int, column: str = "doc_id") -> Column:
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(modulus))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its lines, and the numbers of those that repeat a line elsewhere, exactly or nearly."""
+    found = lines.duplicate_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"),
+                        F.array_join("removed", ",").alias("removed_lines"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; labels of held-out documents (and null ids) teach nothing."""
     labels = table(spark, sf_dir, "labels").where(id_remainder(3) != 1)
@@ -73,6 +80,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_pii": op2_pii,
     "op3_simhash": op3_simhash,
+    "op6_line_dedup": op6_line_dedup,
     "op7_toxicity": op7_toxicity,
     "op8_decontaminate": op8_decontaminate,
     "op10_langid": op10_langid,
