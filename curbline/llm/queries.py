@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbline.llm import decontaminate, langid, lines, pii, simhash, toxicity
+from curbline.llm import decontaminate, langid, lines, pii, secrets, simhash, toxicity
 from curbline.llm.common import table
 
 
@@ -46,6 +46,15 @@ def id_remainder(modulus: int, column: str = "doc_id") -> Column:
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(modulus))
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: base spans, and weak parts that are linked."""
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE_KINDS))
+    return found.select(
+        "doc_id", *[count_kind("spans", k).alias(f"n_{k}") for k in secrets.BASE_KINDS],
+        F.sha2(joined(base), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its lines, and the numbers of those that repeat a line elsewhere, exactly or nearly."""
     found = lines.duplicate_lines(table(spark, sf_dir, "documents"))
@@ -80,6 +89,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_pii": op2_pii,
     "op3_simhash": op3_simhash,
+    "op5_secrets": op5_secrets,
     "op6_line_dedup": op6_line_dedup,
     "op7_toxicity": op7_toxicity,
     "op8_decontaminate": op8_decontaminate,
