@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbline.llm import decontaminate, langid, lines, pii, secrets, simhash, toxicity
+from curbline.llm import decontaminate, langid, lines, packing, pii, secrets, simhash, toxicity
 from curbline.llm.common import table
 
 
@@ -46,6 +46,11 @@ def id_remainder(modulus: int, column: str = "doc_id") -> Column:
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(modulus))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces and their places in bins of 512 to 4096 words."""
+    return packing.pack_documents(table(spark, sf_dir, "documents")).drop("row_key")
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document: base spans, and weak parts that are linked."""
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
@@ -89,6 +94,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_pii": op2_pii,
     "op3_simhash": op3_simhash,
+    "op4_packing": op4_packing,
     "op5_secrets": op5_secrets,
     "op6_line_dedup": op6_line_dedup,
     "op7_toxicity": op7_toxicity,
