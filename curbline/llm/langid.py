@@ -55,33 +55,60 @@ def read_vocabulary(path: str = VOCABULARY) -> list[str]:
     return list(dict.fromkeys(model.id_to_piece(i) for i in kept))
 
 
-@dataclass
+_MIX = np.uint64(0x9E3779B97F4A7C15)     # odd multiplier (golden ratio) of the rolling hash
+_SLOT_BITS = 18
+
+
 class Lattices:
     """Piece ids of words of one length: ids[w, j, k] ends at j, k+1 characters long.
 
     Row ``size`` of a probability table is zero (no such piece), row
-    ``size + 1`` stands for a single character outside the vocabulary.
+    ``size + 1`` stands for a single character outside the vocabulary. Pieces
+    are looked up for many substrings at once: a rolling 64-bit hash of each
+    substring and an open-addressing table of the pieces' (distinct) hashes.
     """
 
-    place: dict[str, int]
-    longest: int
-
-    @property
-    def size(self) -> int:
-        return len(self.place)
+    def __init__(self, place: dict[str, int], longest: int):
+        self.place, self.longest, self.size = place, longest, len(place)
+        bits = max(_SLOT_BITS, (4 * len(place)).bit_length())
+        self._shift, self._last = np.uint64(64 - bits), (1 << bits) - 1
+        self._slot = np.full(1 << bits, self.size, np.int32)
+        self._hash = np.zeros(self.size + 1, np.uint64)
+        for piece, number in place.items():
+            h = np.zeros(1, np.uint64)
+            for c in piece:
+                h = (h + np.uint64(ord(c))) * _MIX
+            self._hash[number] = h[0]
+            at = int(h[0] >> self._shift)
+            while self._slot[at] != self.size:
+                at = (at + 1) & self._last
+            self._slot[at] = number
+        if len(np.unique(self._hash[:-1])) != self.size:
+            raise ValueError("two pieces share a hash; choose another multiplier")
+
+    def _find(self, h: np.ndarray) -> np.ndarray:
+        at = (h >> self._shift).astype(np.int64)
+        found = self._slot[at]
+        open_ = np.nonzero((found != self.size) & (self._hash[found] != h))
+        while len(open_[0]):
+            at[open_] = (at[open_] + 1) & self._last
+            found[open_] = self._slot[at[open_]]
+            still = (found[open_] != self.size) & (self._hash[found[open_]] != h[open_])
+            open_ = tuple(x[still] for x in open_)
+        return found
 
     def ids(self, words: list[str]) -> np.ndarray:
-        get, none, m = self.place.get, self.size, self.longest
         n = len(words[0]) + 1
-        out = np.full((len(words), n + 1, m), none, np.int32)
-        for j in range(1, n + 1):
-            for k in range(1, min(j, m) + 1):
-                if j == k:
-                    out[:, j, k - 1] = [get(SPACE + w[:j - 1], none) for w in words]
-                else:
-                    out[:, j, k - 1] = [get(w[j - k - 1:j - 1], none) for w in words]
+        chars = np.empty((len(words), n), np.uint64)
+        chars[:, 0] = ord(SPACE)
+        chars[:, 1:] = np.array(words).view(np.uint32).reshape(len(words), n - 1)
+        out = np.full((len(words), n + 1, self.longest), self.size, np.int32)
+        h = np.zeros((len(words), n), np.uint64)
+        for k in range(1, min(n, self.longest) + 1):
+            h = (h[:, :n + 1 - k] + chars[:, k - 1:]) * _MIX
+            out[:, k:, k - 1] = self._find(h)
         single = out[:, 1:, 0]
-        single[single == none] = none + 1
+        single[single == self.size] = self.size + 1
         return out
 
 
