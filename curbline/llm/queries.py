@@ -113,10 +113,10 @@ QUERIES = {
 OP9_SQL = """
 WITH fine AS (
   SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 near AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.v, c.v) AS score
+  SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_sum(list_transform(list_zip(q.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))) AS score
   FROM fine q JOIN fine c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
 ranked AS (
   SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS "rank", vec_id, score
