@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbline.llm import decontaminate, langid, lines, packing, pii, secrets, simhash, toxicity, vectors
+from curbline.llm import decontaminate, langid, lines, packing, pii, secrets, simhash, toxicity, vectors, warc
 from curbline.llm.common import table
 
 
@@ -26,6 +26,13 @@ def count_kind(spans, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as a WARC record and read back through the capture index."""
+    directory = warc.write_archive(table(spark, sf_dir, "pages"))
+    records = warc.read_records(warc.index_lines(directory))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document, base and added spans."""
     found = pii.find_personal_data(table(spark, sf_dir, "documents"))
@@ -98,6 +105,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op2_pii": op2_pii,
     "op3_simhash": op3_simhash,
     "op4_packing": op4_packing,
