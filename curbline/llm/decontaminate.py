@@ -2,8 +2,9 @@
 
 1. One pass over the texts keeps, per document, the places of the benchmark's
    words (two packed arrays; all later steps read that table, not the texts).
-2. Content words (in few items) get an inverse document frequency over the
-   whole corpus. All corpus passages, as TF-IDF rows over these words, form a
+2. Document frequencies over the whole corpus give the content words (in few
+   documents, and at least the ``CONTENT_LEAST`` rarest of every item) and
+   their weights. All corpus passages, as TF-IDF rows over these words, form a
    matrix whose leading right singular vectors come from a distributed
    randomised sketch: one pass computes A'(A W) for a random W, and the
    single-pass Nystroem formula turns it into the basis (Tropp et al. 2017).
@@ -37,10 +38,11 @@ _WORD = re.compile(r"\w+")
 _SENTENCE = re.compile(r"[.!?\n]+\s*")
 WINDOWS = (24, 48, 96)      # words; windows overlap by half
 PASSAGE = 64                # longest item passage
-CONTENT_SHARE = 0.05        # words in more of the items are not content words
-CONTENT_LEAST = 8           # but an item's rarest ones always are
+CONTENT_SHARE = 0.005       # words in more of the documents are not content words
+CONTENT_LEAST = 8           # but a passage's rarest ones always are
 RANK, EXTRA = 128, 32
-MIN_CONTENT = 2             # content words a window needs
+MIN_CONTENT = 3             # content words a window needs (fewer if the passage has fewer)
+BLOCK = 4096                # content words projected at a time
 
 
 def words_of(text: str) -> list[str]:
@@ -82,30 +84,30 @@ def answer_of(text: str) -> list[str]:
 
 
 class Benchmark:
-    """The benchmark's vocabulary, content words and passages (driver side)."""
+    """The benchmark's words and passages (driver side)."""
 
     def __init__(self, items: list[tuple[object, str, str | None]]):
         texts = [(item, words_of(text or ""), words_of(answer) if answer else answer_of(text or ""))
                  for item, text, answer in items]
-        texts = [(item, words, answer) for item, words, answer in texts if words]
-        spread = Counter(w for _, words, _ in texts for w in set(words))
-        most = max(2, CONTENT_SHARE * len(texts))
-        content = {w for w, n in spread.items() if n <= most}
-        for _, words, _ in texts:
-            content |= set(sorted(set(words), key=lambda w: (spread[w], w))[:CONTENT_LEAST])
-        self.content = len(content)
-        self.place = {w: i for i, w in enumerate(sorted(content))}
-        for _, words, answer in texts:
-            for w in (*words, *answer):
-                self.place.setdefault(w, len(self.place))
+        self.place: dict[str, int] = {}
         self.passages: list[Passage] = []
         for item, words, answer in texts:
-            number = [self.place[w] for w in words]
-            own_answer = [self.place[w] for w in answer][:PASSAGE]
+            number = [self.place.setdefault(w, len(self.place)) for w in words]
+            own = [self.place.setdefault(w, len(self.place)) for w in answer][:PASSAGE] if words else []
             parts = -(-len(number) // PASSAGE)
             for p in range(parts):
                 part = number[p * len(number) // parts:(p + 1) * len(number) // parts]
-                self.passages.append(Passage(item, part, _places(part), own_answer, _places(own_answer)))
+                self.passages.append(Passage(item, part, _places(part), own, _places(own)))
+
+    def weights(self, seen: np.ndarray, total: int) -> np.ndarray:
+        """Inverse document frequency of the content words, 0 for the others."""
+        content = np.zeros(len(self.place), bool)
+        rare = seen <= CONTENT_SHARE * total
+        for p in self.passages:
+            words = sorted(set(p.words), key=lambda w: (seen[w], w))
+            content[words[:CONTENT_LEAST]] = True
+            content[[w for w in words if rare[w]]] = True
+        return np.where(content, np.log((1 + total) / (1 + seen)) + 1, 0.0)
 
 
 def word_places(docs: DataFrame, place: dict[str, int], id_col: str, text_col: str) -> DataFrame:
@@ -127,52 +129,63 @@ def word_places(docs: DataFrame, place: dict[str, int], id_col: str, text_col: s
     return only(docs, [id_col, text_col]).mapInArrow(run, schema)
 
 
-def _arrays(batch: pa.RecordBatch, pos: int, word: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    for p, w in zip(batch.column(pos), batch.column(word)):
-        yield np.frombuffer(p.as_buffer(), np.int32), np.frombuffer(w.as_buffer(), np.int32)
+def _joined(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All int32 values packed in a binary column, and where each row's begin (one more at the end)."""
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    values = np.frombuffer(data, np.uint8)[ends[0]:ends[-1]].view(np.int32) if data is not None else np.empty(0, np.int32)
+    return values, (ends - ends[0]) // 4
 
 
-def document_frequency(places: DataFrame, content: int) -> tuple[np.ndarray, int]:
-    """Documents having each content word, and all documents."""
+def document_frequency(places: DataFrame, size: int) -> tuple[np.ndarray, int]:
+    """Documents having each benchmark word, and all documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, rows = np.zeros(content, np.int64), 0
+        seen, rows = np.zeros(size, np.int64), 0
         for batch in batches:
             rows += batch.num_rows
-            for (w,) in ((np.frombuffer(x.as_buffer(), np.int32),) for x in batch.column(0)):
-                seen[np.unique(w[w < content])] += 1
+            word, begin = _joined(batch.column(0))
+            row = np.repeat(np.arange(batch.num_rows, dtype=np.int64), np.diff(begin))
+            last = np.full(size, -1, np.int64)
+            for lo in range(0, len(word), 1 << 20):
+                both = np.unique(row[lo:lo + (1 << 20)] * size + word[lo:lo + (1 << 20)])
+                r, w = both // size, both % size
+                fresh = last[w] != r            # a row may go on from the part before
+                seen += np.bincount(w[fresh], minlength=size)
+                last[w] = r
         got = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[got, -1], pa.int32()), pa.array(np.r_[seen[got], rows], pa.int64())],
                                          ["word", "n"])
 
     found = dict(places.select("word").mapInArrow(run, "word int, n bigint").groupBy("word").agg(F.sum("n")).collect())
     total = found.pop(-1, 0)
-    return np.array([found.get(i, 0) for i in range(content)], float), total
+    return np.array([found.get(i, 0) for i in range(size)], float), total
 
 
 def latent_basis(places: DataFrame, weight: np.ndarray, rank: int = RANK, seed: int = 7) -> np.ndarray:
     """Leading right singular vectors (words x rank) of all corpus passages' TF-IDF rows."""
-    n = len(weight)
+    own = np.flatnonzero(weight > 0)        # the matrix has content words only
+    n = len(own)
     width = min(n, rank + EXTRA)
+    if not n:
+        return np.zeros((len(weight), 0))
     omega = np.linalg.qr(np.random.default_rng(seed).standard_normal((n, width)))[0].astype(np.float32)
+    column = np.full(len(weight), -1)
+    column[own] = np.arange(n)
     step = WINDOWS[1]
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mixed = (omega.T * weight.astype(np.float32)).T
+        mixed = (omega.T * weight[own].astype(np.float32)).T
         total = np.zeros((n, width), np.float32)
-        any_ = False
         for batch in batches:
-            rows, cols, base = [], [], 0
-            for pos, word in _arrays(batch, 0, 1):
-                mine = word < n
-                if mine.any():
-                    cells = pos[mine] // step
-                    rows.append(cells + base)
-                    cols.append(word[mine])
-                    base += int(cells[-1]) + 1
-            if not rows:
+            pos, begin = _joined(batch.column(0))
+            word, _ = _joined(batch.column(1))
+            col = column[word]
+            mine = np.flatnonzero(col >= 0)
+            if not len(mine):
                 continue
-            any_ = True
-            row, col = np.concatenate(rows), np.concatenate(cols)
+            doc = np.searchsorted(begin, mine, side="right")
+            key = doc.astype(np.int64) << 32 | pos[mine] // step
+            row, col = np.cumsum(np.r_[0, key[1:] != key[:-1]]), col[mine]
             lo = 0
             while lo < len(row):                # whole rows, about 65,536 cells at a time
                 hi = min(len(row), lo + (1 << 16))
@@ -188,10 +201,9 @@ def latent_basis(places: DataFrame, weight: np.ndarray, rank: int = RANK, seed:
                 first = np.flatnonzero(np.r_[True, c[order][1:] != c[order][:-1]])
                 total[c[order][first]] += np.add.reduceat(spread[order], first, axis=0)
                 lo = hi
-        if any_:
-            got = np.flatnonzero(total.any(axis=1))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(got, pa.int32()), pa.array([total[i].tobytes() for i in got], pa.binary())], ["word", "part"])
+        got = np.flatnonzero(total.any(axis=1))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(got, pa.int32()), pa.array([total[i].tobytes() for i in got], pa.binary())], ["word", "part"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -205,10 +217,11 @@ def latent_basis(places: DataFrame, weight: np.ndarray, rank: int = RANK, seed:
     kind = "word int, part binary"
     y = np.zeros((n, width))
     for r in places.select("pos", "word").mapInArrow(sketch, kind).repartition("word").mapInArrow(add, kind).collect():
-        y[r.word] = np.frombuffer(r.part) * weight[r.word]
+        y[r.word] = np.frombuffer(r.part) * weight[own[r.word]]
     scale = np.linalg.norm(y)
-    if not scale:
-        return np.eye(n, width)[:, :rank]
+    basis = np.zeros((len(weight), min(width, rank)))
+    if not scale:                           # no corpus passage has a content word
+        return basis
     nu = 1e-7 * scale
     y = y + nu * omega
     core = omega.T.astype(float) @ y
@@ -216,7 +229,9 @@ def latent_basis(places: DataFrame, weight: np.ndarray, rank: int = RANK, seed:
     values, vectors = np.linalg.eigh(core)
     keep = values > 1e-9 * values[-1]
     half = y @ (vectors[:, keep] / np.sqrt(values[keep]))
-    return np.linalg.svd(half, full_matrices=False)[0][:, :rank]
+    left = np.linalg.svd(half, full_matrices=False)[0][:, :rank]
+    basis[own, :left.shape[1]] = left
+    return basis
 
 
 def _window_of(n: int) -> int:
@@ -236,62 +251,61 @@ class Searcher:
     answer_share: float
 
     def prepare(self) -> Searcher:
-        n = len(self.weight)
+        self.content = self.weight > 0
         self.vectors = (self.basis * self.weight[:, None]).astype(np.float32)
         self.groups = []
         for size in WINDOWS:
             mine = [p for p in self.bench.passages if _window_of(len(p.words)) == size]
-            z = np.array([self.vectors[[w for w in p.words if w < n]].sum(axis=0) for p in mine], np.float32)
             if mine:
+                z = np.array([self.vectors[p.words].sum(axis=0) for p in mine], np.float32)
                 norm = np.linalg.norm(z, axis=1, keepdims=True)
-                self.groups.append((size, mine, (z / np.where(norm > 0, norm, 1)).T))
+                least = min(MIN_CONTENT, *(int(self.content[p.words].sum()) for p in mine))
+                self.groups.append((size, mine, (z / np.where(norm > 0, norm, 1)).T, max(1, least)))
         return self
 
-    def find(self, pos: np.ndarray, word: np.ndarray) -> dict:
-        """{item: (share of the passage found, first word, end word)} of one document."""
-        n = len(self.weight)
-        mine = word < n
+    def find(self, pos: np.ndarray, word: np.ndarray) -> list[tuple[Passage, float, int]]:
+        """(passage, share found, window start) of every verified window.
+
+        ``pos`` rises over several documents, which lie far enough apart that
+        no window reaches from one to the next.
+        """
+        mine = np.flatnonzero(self.content[word])
         at, content = pos[mine], word[mine]
-        best: dict = {}
-        if len(at) < MIN_CONTENT:
-            return best
-        for lo in range(0, len(at), 1 << 12):       # very long texts in overlapping blocks
-            hi = min(len(at), lo + (1 << 12))
-            self._block(at, content, lo, hi, pos, word, best)
-        return best
-
-    def _block(self, at, content, lo, hi, pos, word, best) -> None:
-        reach = int(np.searchsorted(at, at[hi - 1] + WINDOWS[-1], side="right"))
-        sums = np.zeros((reach - lo + 1, self.vectors.shape[1]), np.float32)
-        np.cumsum(self.vectors[content[lo:reach]], axis=0, out=sums[1:])
-        for size, passages, items in self.groups:
-            step = size // 2
-            starts = np.unique(np.concatenate([at[lo:hi] // step, np.maximum(at[lo:hi] // step - 1, 0)])) * step
-            a = np.maximum(np.searchsorted(at, starts), lo) - lo
-            b = np.minimum(np.searchsorted(at, starts + size), reach) - lo
-            full = b - a >= MIN_CONTENT
-            starts, a, b = starts[full], a[full], b[full]
-            if not len(starts):
-                continue
-            z = sums[b] - sums[a]
-            norm = np.linalg.norm(z, axis=1, keepdims=True)
-            cosine = (z / np.maximum(norm, 1e-12)) @ items
-            for w, p in zip(*np.nonzero(cosine >= self.min_cosine)):
-                self._verify(passages[p], int(starts[w]), size, pos, word, best)
+        out: list[tuple[Passage, float, int]] = []
+        for lo in range(0, len(at), BLOCK):
+            hi = min(len(at), lo + BLOCK)
+            reach = int(np.searchsorted(at, at[hi - 1] + WINDOWS[-1], side="right"))
+            sums = np.zeros((reach - lo + 1, self.vectors.shape[1]), np.float32)
+            np.cumsum(self.vectors[content[lo:reach]], axis=0, out=sums[1:])
+            for size, passages, items, least in self.groups:
+                step = size // 2
+                cell = at[lo:hi] // step
+                starts = np.unique(np.concatenate([cell, cell - 1])) * step
+                a = np.maximum(np.searchsorted(at, starts), lo) - lo
+                b = np.minimum(np.searchsorted(at, starts + size), reach) - lo
+                full = b - a >= least
+                if not full.any():
+                    continue
+                starts, z = starts[full], sums[b[full]] - sums[a[full]]
+                norm = np.linalg.norm(z, axis=1, keepdims=True)
+                for w, p in zip(*np.nonzero((z / np.maximum(norm, 1e-12)) @ items >= self.min_cosine)):
+                    share = self._verify(passages[p], int(starts[w]), size, pos, word)
+                    if share:
+                        out.append((passages[p], share, int(starts[w])))
+        return out
 
-    def _verify(self, passage: Passage, start: int, size: int, pos, word, best) -> None:
+    def _verify(self, passage: Passage, start: int, size: int, pos, word) -> float:
         n = len(passage.words)
         i, j = np.searchsorted(pos, [start - n // 2, start + size + n // 2])
         region = word[i:j].tolist()
         share = lcs_length(passage.places, n, region) / n
         if share < self.paraphrase_lcs:
-            return
+            return 0.0
         if share < self.exact_lcs:
             m = len(passage.answer)
             if not m or lcs_length(passage.answer_places, m, region) < self.answer_share * m:
-                return
-        if share > best.get(passage.item, (0,))[0]:
-            best[passage.item] = (share, int(start), int(start + size))
+                return 0.0
+        return share
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -313,8 +327,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     items = [(r[0], r[1], r[2] if answer_col else None) for r in only(benchmark, wanted).collect()]
     bench = Benchmark(items)
     places = written(word_places(docs, bench.place, id_col, text_col), "decon-places")
-    seen, total = document_frequency(places, bench.content)
-    weight = np.log((1 + total) / (1 + seen)) + 1
+    weight = bench.weights(*document_frequency(places, len(bench.place)))
     basis = latent_basis(places, weight)
     shared = spark.sparkContext.broadcast(
         Searcher(bench, weight, basis, min_cosine, exact_lcs, paraphrase_lcs, answer_share))
@@ -324,10 +337,21 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value.prepare()
         kind = pa.list_(pa.struct([("item", item_type), ("share", pa.float64()), ("first_word", pa.int32()), ("end_word", pa.int32())]))
+        apart, passage_reach = 4 * WINDOWS[-1], WINDOWS[-1]
         for batch in batches:
-            found = [[{"item": k, "share": v[0], "first_word": v[1], "end_word": v[2]} for k, v in own.find(p, w).items()]
-                     for p, w in _arrays(batch, 1, 2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, kind)], [id_col, "found"])
+            pos, begin = _joined(batch.column(1))
+            word, _ = _joined(batch.column(2))
+            sizes = np.diff(begin)
+            last = np.where(sizes > 0, pos[np.maximum(begin[1:] - 1, 0)] if len(pos) else 0, 0)
+            base = np.cumsum(last + apart, dtype=np.int64) - last       # where each document begins
+            found: list[dict] = [{} for _ in range(batch.num_rows)]
+            for passage, share, start in own.find(pos + np.repeat(base, sizes), word):
+                row = int(np.searchsorted(base, start + passage_reach, side="right")) - 1
+                if share > found[row].get(passage.item, (0.0,))[0]:
+                    first = max(0, start - int(base[row]))
+                    found[row][passage.item] = (share, first, first + _window_of(len(passage.words)))
+            rows = [[{"item": k, "share": v[0], "first_word": v[1], "end_word": v[2]} for k, v in f.items()] for f in found]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, kind)], [id_col, "found"])
 
     from pyspark.sql.pandas.types import to_arrow_type
     item_type = to_arrow_type(hit["item"].dataType)
