@@ -9,15 +9,19 @@ from curbline.operators.clean import (
     project_facts, reject_malformed,
 )
 from curbline.operators.match import (
-    branch, branch_id, branch_joins, match, range_condition, union_all,
+    branch, branch_id, match, range_condition, union_all, union_branches,
+)
+from curbline.operators.outer import (
+    match_inner, match_outer, pivot_outer, segments_with_counts,
 )
 from curbline.operators.sides import segment_sides
 
 __all__ = [
-    "ADDRESS_KEYS", "branch", "branch_id", "branch_joins", "clean_facts",
+    "ADDRESS_KEYS", "branch", "branch_id", "clean_facts",
     "clean_segments", "count_long", "dedupe_labels", "distinct_ids",
-    "drop_null_facts", "fill_zero", "match", "matchable", "max_merge",
+    "drop_null_facts", "fill_zero", "match", "match_inner", "match_outer",
+    "matchable", "max_merge", "pivot_outer",
     "pivot_years", "pivot_years_native", "project_facts", "range_condition",
-    "reject_malformed", "segment_sides", "sum_by_id", "totals_with_all_ids",
-    "union_all", "zero_rows",
+    "reject_malformed", "segment_sides", "segments_with_counts", "sum_by_id",
+    "totals_with_all_ids", "union_all", "union_branches", "zero_rows",
 ]

@@ -127,12 +127,17 @@ def clean_segments(segments: DataFrame, drop_nulls: bool = True) -> DataFrame:
     )
 
 
+def with_street_names(seg_clean: DataFrame) -> DataFrame:
+    """Each segment row once per distinct non-NULL street name (``street``)."""
+    names = F.filter(F.array_distinct(F.array("full_street", "st_label")),
+                     lambda x: x.isNotNull())
+    return seg_clean.select("*", F.explode(names).alias("street"))
+
+
 def dedupe_labels(seg_clean: DataFrame) -> DataFrame:
     """One row per (segment row, distinct non-NULL street name).
 
     A label equal to the full name is kept once, so a match is never counted
     twice for the same segment row.
     """
-    names = F.filter(F.array_distinct(F.array("full_street", "st_label")),
-                     lambda x: x.isNotNull())
-    return seg_clean.select("seg_ord", "physical_id", F.explode(names).alias("street"))
+    return with_street_names(seg_clean).select("seg_ord", "physical_id", "street")

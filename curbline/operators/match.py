@@ -14,28 +14,31 @@ key, by **multi-level bucketing** of the house number:
   of two above the median range width of that kind of row (or given).
 * A side row is placed at the lowest level where its range covers at most
   ``fanout`` buckets, and is repeated once per covered bucket.
-* An event probes one bucket per level: (level, n1 // width(level)).
+* An event probes one bucket per level that side rows of its kind occupy:
+  (level, n1 // width(level)). One dirty row with a huge range adds one level.
 
 A side row that contains n1 shares exactly one (level, bucket) with the
 event, so every match is found once -- no candidate cap, no missed wide
 range -- and the build side grows by at most ``fanout + 1`` rows per side
-row, the probe side by the (small) number of levels.
-
-Strategy: the side table is a dimension. One aggregate job over it measures
-the range widths and the longest value of every string column; from these an
-*upper bound* of the broadcast hash relation is computed, tightened by an
-exact count of the bucketed rows when needed (``plan_match``). Only the payload
-columns a caller needs travel with it. Only when that bound is below
-``curbline.broadcast.maxBytes`` (default 256 MiB) is the side broadcast, and
-the events are never shuffled for the join. Otherwise the join is a shuffled
-sort-merge equi-join on all the keys above (hinted, so that no low static
-estimate broadcasts it anyway); the bucket key spreads a hot street over many
-tasks, AQE splits what is still skewed, and ``salt`` > 1 additionally spreads
-every event key over ``salt`` tasks.
+row, the probe side by the (small) number of occupied levels.
+
+Strategy: the side table is a dimension. Two small aggregates over it
+(``plan_match``) give the range widths and longest strings, then the exact
+number of bucketed rows, the occupied levels and how full the buckets are.
+From these comes an *upper bound* in bytes of the broadcast hash relation.
+Only the payload columns a caller needs travel with it. Only when that bound
+is below ``curbline.broadcast.maxBytes`` (default 256 MiB) is the side
+broadcast, and the events are never shuffled for the join. Otherwise the join
+is a shuffled sort-merge equi-join on all the keys above (hinted, so that no
+low static estimate broadcasts it anyway); the bucket key spreads a hot street
+over many tasks, AQE splits what is still skewed, and ``salt`` > 1 additionally
+deals the events of every key, also of one hot address, over ``salt`` tasks.
 
 Policy 'all' keeps every (event, matching segment row) pair. Policy 'first'
-keeps the smallest ``seg_ord`` per event (``min_by``, a partial aggregate:
-no group is ever collected in one place).
+keeps the smallest ``seg_ord`` per event row. With broadcast sides that is a
+lookup of each occupied level's bucket: no event moves. Without, event rows are
+numbered and the pairs reduced by ``min`` (a partial aggregate). Equal event
+rows are counted each.
 """
 
 from __future__ import annotations
@@ -44,7 +47,7 @@ import functools
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,101 +89,77 @@ def probe_rows(sides: DataFrame, payload: Sequence[str] = SEGMENT_OUT) -> DataFr
 
 @dataclass(frozen=True)
 class MatchPlan:
-    """Decisions taken from one aggregate over the probe rows."""
-    widths: tuple[int, int]      # base bucket width per kind
-    levels: int                  # number of bucket levels
+    """Decisions taken from two small aggregates over the probe rows."""
+    widths: tuple[int, int]                 # base bucket width per kind
+    levels: int                             # number of levels a row may be placed at
+    occupied: tuple[tuple[int, ...], ...]   # levels that rows of each kind are at
     fanout: int
-    size_bound: int              # bytes, upper bound of the bucketed build side
+    rows: int                               # bucketed rows
+    mean_load: float                        # rows of the bucket that a bucketed row is in, on average
+    worst_load: int                         # rows of the fullest bucket
+    size_bound: int                         # bytes, upper bound of the bucketed build side
     broadcast: bool
 
 
 ENTRY_OVERHEAD = 48                     # hash-map slot, pointers, length words
 
 
-def _span(width: int) -> Column:
-    return F.floor(F.col("hi") / width) - F.floor(F.col("lo") / width) + 1
+def broadcast_limit(spark: SparkSession) -> int:
+    conf = spark.conf.get("curbline.broadcast.maxBytes", None)
+    return int(conf) if conf else DEFAULT_BROADCAST_MAX_BYTES
 
 
 def plan_match(probe: DataFrame, broadcast: bool | None = None,
                bucket_width: int | None = None, fanout: int = DEFAULT_FANOUT) -> MatchPlan:
     """Measure the build side and choose bucketing and strategy.
 
-    One small aggregate gives, per kind of row, the median, widest and total
-    range width and the row count, plus the longest value of every string
-    column. The base width is the smallest power of two above the median (or
-    ``bucket_width``). A row covers at most ``width / base + 2`` buckets, which
-    bounds the bucketed rows; with the string lengths this gives a proven
-    upper bound of the broadcast hash relation: rows x (value row + key row +
-    entry overhead). Only if that loose bound exceeds the limit, a second
-    aggregate counts the bucketed rows exactly (``least(covered, fanout + 1)``
-    per row: exact at level 0, an upper bound for rows placed higher).
+    A first aggregate gives, per kind of row, the median and widest range, and
+    the longest value (in bytes) of every string column. The base width is the
+    smallest power of two above the median (or ``bucket_width``). A second one
+    counts the bucketed rows per (kind, level) and the fullest bucket: the
+    exact row count times (value row + key row + entry overhead) bounds the
+    broadcast hash relation. ``broadcast=True`` asks for a broadcast and is an
+    error when that bound is over the limit; ``False`` forbids one.
     """
     if fanout < 2:
         raise ValueError("fanout must be >= 2")
     strings = [f.name for f in probe.schema.fields if isinstance(f.dataType, T.StringType)]
-    w = F.col("hi") - F.col("lo")
-    aggs = [F.max(F.length(c)).alias(f"len_{c}") for c in strings]
+    w = F.col("hi").cast("bigint") - F.col("lo").cast("bigint")
+    aggs = [F.max(F.octet_length(c)).alias(f"len_{c}") for c in strings]
     for k in (0, 1):
         wk = F.when(F.col("kind") == k, w)
-        aggs += [F.percentile_approx(wk, 0.5).alias(f"med{k}"), F.max(wk).alias(f"max{k}"),
-                 F.sum(wk).alias(f"sum{k}"), F.count(wk).alias(f"n{k}")]
+        aggs += [F.percentile_approx(wk, 0.5).alias(f"med{k}"), F.max(wk).alias(f"max{k}")]
     st = probe.agg(*aggs).first()
     widths = []
     levels = 1
-    loose_rows = 0
     for k in (0, 1):
-        med = int(st[f"med{k}"] or 0)
-        base = bucket_width or 1 << max(0, med).bit_length()      # power of two > median
+        base = bucket_width or 1 << max(0, int(st[f"med{k}"] or 0)).bit_length()  # power of two > median
         widths.append(base)
-        widest = int(st[f"max{k}"] or 0)
         # lowest level whose bucket width lets the widest range span <= fanout
         lv = 1
-        while widest // (base * fanout ** (lv - 1)) + 2 > fanout:
+        while int(st[f"max{k}"] or 0) // (base * fanout ** (lv - 1)) + 2 > fanout:
             lv += 1
         levels = max(levels, lv)
-        loose_rows += int(st[f"sum{k}"] or 0) // base + 2 * int(st[f"n{k}"] or 0)
+    draft = MatchPlan((widths[0], widths[1]), levels, ((), ()), fanout, 0, 0.0, 0, 0, False)
+    loads = (bucketed_build(probe.select(*EQUI_KEYS, "kind", "lo", "hi"), draft)
+             .groupBy(*JOIN_KEYS).agg(F.count(F.lit(1)).alias("n"))
+             .groupBy("kind", "level").agg(F.sum("n").alias("rows"), F.max("n").alias("worst"),
+                                           F.sum(F.col("n").cast("double") * F.col("n")).alias("squares"))
+             .collect())                    # one row per occupied level
+    rows = sum(r["rows"] for r in loads)
     pad = {c: ((int(st[f"len_{c}"] or 0) + 7) // 8) * 8 for c in strings}
     value_row = 8 + 8 * (len(probe.columns) + 2) + sum(pad.values())   # + level, bucket
     key_row = 8 + 8 * len(JOIN_KEYS) + pad.get("street", 0)
-    per_row = value_row + key_row + ENTRY_OVERHEAD
-    conf = probe.sparkSession.conf.get("curbline.broadcast.maxBytes", None)
-    limit = int(conf) if conf else DEFAULT_BROADCAST_MAX_BYTES
-    size_bound = loose_rows * per_row
-    if size_bound > limit and broadcast is None:
-        cap = F.lit(fanout + 1)
-        exact = probe.agg(*[
-            F.sum(F.when(F.col("kind") == k, F.least(_span(widths[k]), cap))).alias(f"r{k}")
-            for k in (0, 1)]).first()
-        size_bound = (int(exact["r0"] or 0) + int(exact["r1"] or 0)) * per_row
-    if broadcast is None:
-        broadcast = size_bound <= limit
-    return MatchPlan((widths[0], widths[1]), levels, fanout, size_bound, broadcast)
-
-
-def depth_profile(probe: DataFrame) -> tuple[float, float]:
-    """(average, worst) number of side rows covering a house number of a street.
-
-    Per (boro, street, parity, kind): the numbers covered by all ranges,
-    counted with multiplicity, over the span from the lowest to the highest
-    bound. The average is weighted over keys by span; the worst is the
-    largest per-key value. About 1 where segments tile the street (real
-    centerlines); large where ranges pile up or rows are copied. An event
-    matches about this many rows, so it predicts the join's output per event
-    -- on average, and on the hottest street. One small aggregate over the
-    (dimension-sized) build side.
-    """
-    per_key = probe.groupBy(*EQUI_KEYS, "kind").agg(
-        F.sum(F.col("hi") - F.col("lo") + 1).alias("cov"),
-        (F.max("hi") - F.min("lo") + 1).alias("span"))
-    row = per_key.agg(F.sum("cov").alias("cov"), F.sum("span").alias("span"),
-                      F.max(F.col("cov") / F.col("span")).alias("worst")).first()
-    cov, span = int(row["cov"] or 0), int(row["span"] or 0)
-    return (cov / span if span else 0.0), float(row["worst"] or 0.0)
-
-
-def coverage_depth(probe: DataFrame) -> float:
-    """The average of ``depth_profile``."""
-    return depth_profile(probe)[0]
+    size_bound = rows * (value_row + key_row + ENTRY_OVERHEAD)
+    fits = size_bound <= broadcast_limit(probe.sparkSession)
+    if broadcast and not fits:
+        raise ValueError(f"broadcast asked for, but the sides may take {size_bound} bytes "
+                         "(curbline.broadcast.maxBytes)")
+    occupied = tuple(tuple(sorted(r["level"] for r in loads if r["kind"] == k)) for k in (0, 1))
+    return MatchPlan((widths[0], widths[1]), levels, occupied, fanout, rows,
+                     sum(r["squares"] for r in loads) / rows if rows else 0.0,
+                     max((r["worst"] for r in loads), default=0), size_bound,
+                     fits if broadcast is None else broadcast)
 
 
 def _level_width(plan: MatchPlan, kind: Column, level: int) -> Column:
@@ -207,23 +186,57 @@ def bucketed_build(probe: DataFrame, plan: MatchPlan) -> DataFrame:
 
 
 def bucketed_probe(facts: DataFrame, plan: MatchPlan) -> DataFrame:
-    """Every event once per level, with its bucket at that level."""
+    """Every event once per level occupied by its kind, with its bucket there."""
+    def keys(kind: int) -> Column:
+        return F.array(*[
+            F.struct(F.lit(lv).alias("level"), F.floor(F.col("n1") / _level_width(plan, F.lit(kind), lv)).alias("bucket"))
+            for lv in plan.occupied[kind]]).cast("array<struct<level:int,bucket:bigint>>")
+
     kind = F.when(F.col("n2").isNull(), F.lit(0)).otherwise(F.lit(1))
-    with_kind = facts.withColumn("kind", kind)
-    keys = F.array(*[
-        F.struct(F.lit(lv).alias("level"),
-                 F.floor(F.col("n1") / _level_width(plan, F.col("kind"), lv)).alias("bucket"))
-        for lv in range(plan.levels)])
-    return with_kind.select("*", F.explode(keys).alias("_k")).select(
+    return facts.select("*", kind.alias("kind"), F.explode(
+        F.when(F.col("n2").isNull(), keys(0)).otherwise(keys(1))).alias("_k")).select(
         *facts.columns, "kind", "_k.level", "_k.bucket")
 
 
+def choose_salt(facts: DataFrame, tasks: int | None = None) -> int:
+    """How many ways to deal each event key so that the hottest address is no
+    larger than an even task: its share of the events times ``tasks`` (default
+    the session's shuffle width), at least 1. One aggregate over the events."""
+    tasks = tasks or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    row = (facts.groupBy(*EQUI_KEYS, "n1", "n2").agg(F.count(F.lit(1)).alias("n"))
+           .agg(F.max("n").alias("hot"), F.sum("n").alias("total")).first())
+    return max(1, -(-int(row["hot"] or 0) * tasks // max(1, int(row["total"] or 0))))
+
+
+def _first_by_lookup(facts: DataFrame, probe: DataFrame, plan: MatchPlan) -> DataFrame:
+    """Policy 'first' with broadcast sides: one lookup per occupied level."""
+    cand = F.struct("seg_ord", "physical_id", "lo", "hi", "lo2", "hi2")
+    build = bucketed_build(probe, plan).groupBy(*JOIN_KEYS).agg(F.collect_list(cand).alias("_cands"))
+    stream = facts.withColumn("kind", F.when(F.col("n2").isNull(), F.lit(0)).otherwise(F.lit(1)))
+    names: list[str] = []
+    for lv in sorted(set(plan.occupied[0]) | set(plan.occupied[1])):
+        at = stream.withColumn("bucket", F.floor(F.col("n1") / _level_width(plan, F.col("kind"), lv)))
+        here = F.broadcast(build.where(F.col("level") == lv).drop("level"))
+        found = at.join(here, on=[k for k in JOIN_KEYS if k != "level"], how="left")
+        n1, n2 = F.col("n1"), F.col("n2")
+        hits = F.transform(
+            F.filter("_cands", lambda c: n1.between(c["lo"], c["hi"]) & (n2.isNull() | n2.between(c["lo2"], c["hi2"]))),
+            lambda c: F.struct(c["seg_ord"].alias("seg_ord"), c["physical_id"].alias("physical_id")))
+        stream = found.select(*facts.columns, "kind", *names, F.array_min(hits).alias(f"_hit{lv}"))
+        names.append(f"_hit{lv}")
+    if not names:                           # no side rows at all
+        return facts.where(F.lit(False)).select("*", *[F.lit(None).cast(probe.schema[c].dataType).alias(c) for c in ("seg_ord", "physical_id")])
+    first = F.array_min(F.array_compact(F.array(*names)))
+    return (stream.select(*facts.columns, first.alias("_first")).where(F.col("_first").isNotNull())
+            .select(*facts.columns, "_first.seg_ord", "_first.physical_id"))
+
+
 def match(
     facts: DataFrame,
     sides: DataFrame,
     policy: str = "all",
     broadcast: bool | None = None,
-    salt: int = 1,
+    salt: int | str = 1,
     bucket_width: int | None = None,
     fanout: int = DEFAULT_FANOUT,
     plan: MatchPlan | None = None,
@@ -235,6 +248,10 @@ def match(
     seg_ord, physical_id, side, name_role) for policy 'all', or plus seg_ord,
     physical_id for policy 'first'. ``plan`` reuses a measurement of a
     superset of ``sides`` with at least this payload (its bound still holds).
+    ``salt`` matters only without a broadcast; 'auto' measures the events
+    (``choose_salt``). Policy 'first' without a broadcast numbers the event
+    rows by their place in the scan, so ``facts`` should come from a stored
+    table.
     """
     if policy not in ("all", "first"):
         raise ValueError(f"unknown policy {policy!r}")
@@ -244,38 +261,46 @@ def match(
     probe = probe_rows(sides, payload)
     if plan is None:
         plan = plan_match(probe, broadcast, bucket_width, fanout)
+    if policy == "first" and plan.broadcast:
+        return _first_by_lookup(facts, probe, plan)
     build = bucketed_build(probe, plan)
-    stream = bucketed_probe(facts, plan)
+    numbered = facts if policy == "all" else facts.withColumn("_row", F.monotonically_increasing_id())
     keys = list(JOIN_KEYS)
     if plan.broadcast:
+        stream = bucketed_probe(numbered, plan)
         build = F.broadcast(build)
     else:
+        if salt == "auto":
+            salt = choose_salt(facts)
         if salt > 1:
-            stream = stream.withColumn("_salt", F.pmod(F.xxhash64("n1", "n2"), F.lit(salt)).cast("int"))
+            # the row's place, not its values: equal events are dealt out as well
+            numbered = numbered.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salt)).cast("int"))
             build = build.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
             keys.append("_salt")
+        stream = bucketed_probe(numbered, plan)
         # the size check refused a broadcast: say so, so that a low static
         # estimate cannot broadcast it anyway; sort-merge spills and AQE
         # splits skewed partitions
         build = build.hint("merge")
     joined = stream.join(build, on=keys, how="inner").where(range_condition())
-    joined = joined.select(*facts.columns, *payload)
     if policy == "all":
-        return joined
-    return joined.groupBy(*facts.columns).agg(
+        return joined.select(*facts.columns, *payload)
+    return joined.groupBy("_row", *facts.columns).agg(
         F.min("seg_ord").alias("seg_ord"),
         F.min_by("physical_id", "seg_ord").alias("physical_id"),
-    )
+    ).drop("_row")
 
 
-def match_unbucketed(facts: DataFrame, sides: DataFrame, broadcast: bool = True) -> DataFrame:
+def match_unbucketed(facts: DataFrame, sides: DataFrame, broadcast: bool | None = None) -> DataFrame:
     """The plain form: equi-join on (boro, street, parity, kind), range residual.
 
     Same result as ``match(..., 'all')``; kept to measure what bucketing buys.
+    The sides are broadcast only if the bucketed sides' bound (which is larger)
+    allows it; ``broadcast=False`` forbids it.
     """
     probe = probe_rows(sides)
     stream = facts.withColumn("kind", F.when(F.col("n2").isNull(), 0).otherwise(1))
-    build = F.broadcast(probe) if broadcast else probe
+    build = F.broadcast(probe) if plan_match(probe, broadcast).broadcast else probe.hint("merge")
     return (stream.join(build, on=EQUI_KEYS + ["kind"], how="inner")
             .where(range_condition()).select(*facts.columns, *SEGMENT_OUT))
 
@@ -306,24 +331,22 @@ def branch(matched: DataFrame, branch_no: int) -> DataFrame:
     return matched.where(kind & (F.col("side") == side) & (F.col("name_role") == role))
 
 
-def branch_joins(facts: DataFrame, sides: DataFrame,
-                 broadcast: bool | None = None) -> list[DataFrame]:
-    """The eight branches as eight separate joins (the reference's shape).
+def branch_sides(sides: DataFrame) -> list[DataFrame]:
+    """The sides of the eight branches, with the branch number."""
+    return [sides.where((F.col("side") == side) & (F.col("name_role") == role))
+            .withColumn("branch", F.lit(no)) for no, (_, side, role) in BRANCHES.items()]
+
+
+def union_branches(facts: DataFrame, sides: DataFrame, broadcast: bool | None = None,
+                   salt: int | str = 1) -> DataFrame:
+    """The bag union of the eight branches (columns of ``facts`` + SEGMENT_OUT + branch).
 
-    Kept as a baseline and for the bag-union operator (U1); the reports use
-    the single join, which scans the events once instead of eight times.
+    The union is taken over the branches' segment sides, a dimension, and joined
+    once, so the events are scanned once instead of eight times.
     """
-    plan = plan_match(probe_rows(sides), broadcast)     # one measurement for all eight
-    out = []
-    for no, (compound, side, role) in BRANCHES.items():
-        kind = F.col("n2").isNotNull() if compound else F.col("n2").isNull()
-        f = facts.where(kind & (F.col("parity") == (0 if side == "R" else 1)))
-        # each branch builds from its own side and name (Catalyst would push
-        # such a filter into the build side anyway, so eight broadcasts it is:
-        # this is the reference's shape, kept as a baseline)
-        s = sides.where((F.col("side") == side) & (F.col("name_role") == role))
-        out.append(match(f, s, "all", plan=plan).withColumn("branch", F.lit(no)))
-    return out
+    joined = match(facts, union_all(branch_sides(sides)), "all", broadcast, salt, payload=[*SEGMENT_OUT, "branch"])
+    # a side row serves simple and compound numbers; a branch has one kind
+    return joined.where((F.col("branch") > 4) == F.col("n2").isNotNull())
 
 
 def union_all(dfs: list[DataFrame]) -> DataFrame:

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from curbline.operators.clean import with_street_names
+
 SIDE_COLUMNS = ["seg_ord", "physical_id", "boro", "street", "parity", "side",
                 "name_role", "s_lo", "s_hi", "lo1", "hi1", "lo2", "hi2"]
 
@@ -39,11 +41,7 @@ def segment_sides(seg_clean: DataFrame, strict: bool = False) -> DataFrame:
     Rows that cannot match anything (no usable bound) are dropped here, which
     keeps the broadcast small.
     """
-    names = F.filter(F.array_distinct(F.array("full_street", "st_label")),
-                     lambda x: x.isNotNull())
-    by_name = seg_clean.select(
-        "*", F.explode(names).alias("street"),
-    ).withColumn(
+    by_name = with_street_names(seg_clean).withColumn(
         "name_role",
         F.when(F.col("street") == F.col("full_street"), F.lit("full")).otherwise(F.lit("label")),
     )

@@ -27,28 +27,26 @@ from curbline.operators import (
     ADDRESS_KEYS, clean_facts, clean_segments, count_long, match, matchable,
     pivot_years, segment_sides, totals_with_all_ids,
 )
-from curbline.operators.match import depth_profile, plan_match, probe_rows
+from curbline.operators.match import MatchPlan, plan_match, probe_rows
 from curbline.schemas import year_columns
 from curbline.session import shared_dir
 
 REFERENCE_YEARS = (2015, 2016, 2017, 2018, 2019)
-# Join events in place only while an event matches few side rows, on average
-# and on the hottest street (a street whose rows are piled up or copied would
-# multiply every event on it); otherwise counting per address first bounds
-# the join by the distinct addresses.
-JOIN_FIRST_MAX_DEPTH = 4.0
-JOIN_FIRST_MAX_KEY_DEPTH = 32.0
+# Join events in place only while an event meets few side rows: a bucket's rows
+# bound what one probe compares and matches, so rows piled up or copied on one
+# house number show, whatever else is on the street. Otherwise counting per
+# address first bounds the join by the distinct addresses.
+JOIN_FIRST_MAX_MEAN_LOAD = 8.0
+JOIN_FIRST_MAX_WORST_LOAD = 64
 
 
-def join_first(probe, plan, strategy: str) -> bool:
-    """'join_first', 'preaggregate' or 'auto': broadcast and low coverage depth
-    (measured by one more small aggregate over the build side, only here)."""
+def join_first(plan: MatchPlan, strategy: str) -> bool:
+    """'join_first', 'preaggregate' or 'auto': broadcast, and no full buckets."""
     if strategy == "join_first":
         return True
     if strategy == "preaggregate" or not plan.broadcast:
         return False
-    average, worst = depth_profile(probe)
-    return average <= JOIN_FIRST_MAX_DEPTH and worst <= JOIN_FIRST_MAX_KEY_DEPTH
+    return plan.mean_load <= JOIN_FIRST_MAX_MEAN_LOAD and plan.worst_load <= JOIN_FIRST_MAX_WORST_LOAD
 
 
 def yearly_counts(
@@ -58,9 +56,10 @@ def yearly_counts(
     aliases: str = "final",
     ids: str | None = "raw",
     broadcast: bool | None = None,
-    salt: int = 1,
+    salt: int | str = 1,
     strategy: str = "auto",
     checkpoint: bool = False,
+    plan: MatchPlan | None = None,
 ) -> DataFrame:
     """physical_id, y<year>... : matches per segment id and year (policy 'all').
 
@@ -69,16 +68,19 @@ def yearly_counts(
 
     Two plans, chosen from the measured segment sides (``strategy='auto'``):
 
-    * join first -- the sides are broadcast and an event matches few rows
-      (coverage depth <= JOIN_FIRST_MAX_DEPTH, as on real centerlines): events
+    * join first -- the sides are broadcast and their buckets hold few rows
+      (see ``join_first``; so it is on real centerlines): events
       probe the broadcast sides where they are and only then are counted per
       (id, year). The only shuffle is that partial aggregate, whose key space
       is segments x years, far smaller than the distinct addresses.
     * count first -- otherwise: events are first counted per address and year
       (partial + final aggregate), so the join handles one row per address
       instead of one per event: it is a shuffled sort-merge join when the
-      sides are too big to broadcast, and when ranges pile up (high depth)
-      the join output shrinks by the events-per-address factor.
+      sides are too big to broadcast, and when ranges pile up the join output
+      shrinks by the events-per-address factor.
+
+    ``plan`` reuses an earlier measurement of the same segments
+    (``measure_segments``) instead of reading them for it once more.
 
     ``checkpoint`` writes the aggregate that ends the event scan (counts per
     id and year, or per address and year) to the shared checkpoint folder
@@ -90,11 +92,10 @@ def yearly_counts(
     seg = clean_segments(segments)
     sides = segment_sides(seg)
     payload = ["physical_id"]
-    probe = probe_rows(sides, payload)
-    plan = plan_match(probe, broadcast)
+    plan = plan or plan_match(probe_rows(sides, payload), broadcast)
     id_rows = {"raw": segments, "clean": seg, None: None}[ids]
     id_rows = None if id_rows is None else id_rows.select("physical_id")
-    if join_first(probe, plan, strategy):
+    if join_first(plan, strategy):
         events = facts.select(*ADDRESS_KEYS, "year")
         matched = match(events, sides, "all", plan=plan, payload=payload).select(
             "physical_id", "year")
@@ -107,6 +108,11 @@ def yearly_counts(
     return totals_with_all_ids(matched, id_rows, ycols)
 
 
+def measure_segments(segments: DataFrame, broadcast: bool | None = None) -> MatchPlan:
+    """The measurement that ``trend_report`` takes of its segments, for reuse."""
+    return plan_match(probe_rows(segment_sides(clean_segments(segments)), ["physical_id"]), broadcast)
+
+
 def _cut(df: DataFrame, checkpoint: bool) -> DataFrame:
     """Reliable checkpoint in the folder named by the session (or unchanged)."""
     if not checkpoint:
@@ -116,7 +122,7 @@ def _cut(df: DataFrame, checkpoint: bool) -> DataFrame:
 
 
 def counts_per_id_year(facts: DataFrame, sides: DataFrame,
-                       broadcast: bool | None = None, salt: int = 1,
+                       broadcast: bool | None = None, salt: int | str = 1,
                        strategy: str = "auto") -> DataFrame:
     """physical_id, year, cnt over matched (event, segment row) pairs.
 
@@ -124,9 +130,8 @@ def counts_per_id_year(facts: DataFrame, sides: DataFrame,
     broadcast and shallow, else count per address and year before the join.
     """
     payload = ["physical_id"]
-    probe = probe_rows(sides, payload)
-    plan = plan_match(probe, broadcast)
-    if join_first(probe, plan, strategy):
+    plan = plan_match(probe_rows(sides, payload), broadcast)
+    if join_first(plan, strategy):
         m = match(facts.select(*ADDRESS_KEYS, "year"), sides, "all", plan=plan, payload=payload)
         return m.groupBy("physical_id", "year").agg(F.count(F.lit(1)).alias("cnt"))
     addresses = count_long(facts, ADDRESS_KEYS + ["year"])
@@ -146,11 +151,12 @@ def with_trend(counts: DataFrame, years: Sequence[int], digits: int) -> DataFram
 def trend_report(violations: DataFrame, segments: DataFrame,
                  years: Sequence[int] = REFERENCE_YEARS, digits: int = 7,
                  aliases: str = "final", ids: str | None = "raw",
-                 broadcast: bool | None = None, salt: int = 1,
-                 strategy: str = "auto", checkpoint: bool = False) -> DataFrame:
+                 broadcast: bool | None = None, salt: int | str = 1,
+                 strategy: str = "auto", checkpoint: bool = False,
+                 plan: MatchPlan | None = None) -> DataFrame:
     """Q1: every segment id, its yearly match counts and their trend."""
     counts = yearly_counts(violations, segments, years, aliases, ids, broadcast, salt,
-                           strategy, checkpoint)
+                           strategy, checkpoint, plan)
     return with_trend(counts, years, digits)
 
 
@@ -181,7 +187,8 @@ def top_by_id(report: DataFrame, n: int = 50) -> DataFrame:
 
 def count_id_year(violations: DataFrame, segments: DataFrame,
                   years: Sequence[int] | None = None,
-                  broadcast: bool | None = None, checkpoint: bool = False) -> DataFrame:
+                  broadcast: bool | None = None, checkpoint: bool = False,
+                  salt: int | str = 1) -> DataFrame:
     """Q5: physical_id, year, cnt -- at most one segment per event.
 
     The first version of the job: validated dates (no year range unless
@@ -197,5 +204,5 @@ def count_id_year(violations: DataFrame, segments: DataFrame,
     facts = facts.where(F.col("year").isNotNull())
     addresses = _cut(count_long(facts, ADDRESS_KEYS + ["year"]), checkpoint)
     sides = segment_sides(clean_segments(segments, drop_nulls=False), strict=True)
-    first = match(addresses, sides, "first", broadcast)
+    first = match(addresses, sides, "first", broadcast, salt)
     return first.groupBy("physical_id", "year").agg(F.sum("cnt").cast("bigint").alias("cnt"))
