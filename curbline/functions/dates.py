@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from curbline.functions.house import parse_int
+
 
 def year_text(c: Column | str) -> Column:
     """Third '/'-separated part as int (F7); NULL when absent or not a number."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.get(F.split(col, "/"), F.lit(2)).try_cast("int")
+    return parse_int(F.get(F.split(col, "/"), F.lit(2)))
 
 
 def year_parsed(c: Column | str) -> Column:

@@ -2,7 +2,7 @@
 
 All of these stay inside whole-stage codegen: no Python runs per row.
 Under ANSI mode (the PySpark 4 default) ``getItem`` past the end and ``cast``
-of bad text raise errors, so ``F.get`` and ``try_cast`` are used: a missing
+of bad text raise errors, so ``F.get`` and ``parse_int`` are used: a missing
 part or an unparsable part is NULL, which later never matches.
 """
 
@@ -16,6 +16,18 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def parse_int(c: Column | str) -> Column:
+    """Text as int the way Spark 2.4's cast read it (F5), NULL if it is no number.
+
+    An optional sign and digits; a decimal part is cut off ('12.5' -> 12, '.5'
+    and '.' -> 0). No exponents or other characters; out of range is NULL.
+    Spaces around the number are ignored, as later Spark versions do.
+    """
+    col = _col(c)
+    whole = F.regexp_extract(col, "^ *([+-]?[0-9]+)([.][0-9]*)? *$", 1).try_cast("int")
+    return F.coalesce(whole, F.when(col.rlike("^ *[+-]?[.][0-9]* *$"), F.lit(0)))
+
+
 def upper_street(c: Column | str) -> Column:
     """Street names are compared upper-cased (F1)."""
     return F.upper(_col(c))
@@ -39,8 +51,7 @@ def number_part(c: Column | str, index: int) -> Column:
     """Part ``index`` (0 or 1) of a '-'-separated number, as int or NULL.
 
     '12-34' -> 12, 34; '12' -> 12, NULL; '1-2-3' -> 1, 2; '-7' -> NULL, 7.
-    Same values as ``get(split(c, '-'), index)`` followed by ``try_cast``, with
-    plain substring searches instead of a regex split.
+    Same values as ``parse_int`` of ``get(split(c, '-'), index)``, with plain substring searches instead of a regex split.
     """
     col = _col(c)
     if index == 0:
@@ -50,12 +61,12 @@ def number_part(c: Column | str, index: int) -> Column:
                       F.substring_index(F.substring_index(col, "-", 2), "-", -1))
     else:
         part = F.get(F.split(col, "-"), F.lit(index))
-    return part.try_cast("int")
+    return parse_int(part)
 
 
 def whole_number(c: Column | str) -> Column:
     """The whole text as an int; NULL for compound or malformed text."""
-    return _col(c).try_cast("int")
+    return parse_int(c)
 
 
 def parity(n1: Column | str, n2: Column | str) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from curbline.functions.house import parse_int
+
 # --- Fixed values: these must equal the reference's alias tables exactly. ---
 # Borough code -> aliases of the final version of the job.
 COUNTY_ALIASES_BY_CODE: dict[str, tuple[str, ...]] = {
@@ -46,4 +48,4 @@ def recode_county(c: Column | str, variant: str = "final") -> Column:
 
 def borough_code(c: Column | str, variant: str = "final") -> Column:
     """Recoded county as int; unknown non-numeric values become NULL."""
-    return recode_county(c, variant).try_cast("int")
+    return parse_int(recode_county(c, variant))

@@ -21,6 +21,8 @@ FX_VIOLATION = """fx_violation AS (
     CASE WHEN o_orderkey % 97 = 0 THEN NULL
          WHEN o_orderkey % 89 = 0 THEN 'N/A'
          WHEN o_orderkey % 83 = 0 THEN '12b'
+         WHEN o_orderkey % 71 = 0 THEN concat(CAST(o_custkey % 60 + 1 AS VARCHAR), '.5')
+         WHEN o_orderkey % 67 = 0 THEN '1e1'
          WHEN o_orderkey % 79 = 0 THEN concat(CAST(o_custkey % 60 + 1 AS VARCHAR), '-', CAST((o_orderkey + o_custkey) % 40 + 1 AS VARCHAR), '-9')
          WHEN o_orderkey % 7 < 3 THEN concat(CAST(o_custkey % 60 + 1 AS VARCHAR), '-', CAST((o_orderkey + o_custkey) % 40 + 1 AS VARCHAR))
          WHEN o_orderkey % 7 = 3 THEN concat(CAST(o_custkey % 60 + 1 AS VARCHAR), 'A')
@@ -52,9 +54,18 @@ FX_SEGMENT = """fx_segment AS (
   FROM part)"""
 
 
+def strict_int(expr: str) -> str:
+    """Text as INTEGER the way the original job's engine read it: digits with a
+    sign, decimals cut off, nothing else (no exponents or underscores) but
+    spaces around."""
+    expr = f"trim({expr})"
+    return (f"CASE WHEN regexp_full_match({expr}, '[+-]?([0-9]+([.][0-9]*)?|[.][0-9]*)') "
+            f"THEN TRY_CAST(regexp_replace(regexp_replace({expr}, '[.].*$', ''), '^([+-]?)$', '\\1' || '0') AS INTEGER) END")
+
+
 def part_int(expr: str, sep: str, index: int) -> str:
     """Part ``index`` (1-based) of ``expr`` as INTEGER; NULL when missing."""
-    return f"TRY_CAST(NULLIF(split_part({expr}, '{sep}', {index}), '') AS INTEGER)"
+    return strict_int(f"split_part({expr}, '{sep}', {index})")
 
 
 def county_case(expr: str, variant: str) -> str:
@@ -79,7 +90,7 @@ def facts_cte(name: str = "facts", variant: str = "final", year_mode: str = "tex
     if years is not None:
         where.append(f"year >= {min(years)} AND year <= {max(years)}")
     if strict_county:
-        where.append("TRY_CAST(county AS INTEGER) IS NOT NULL")
+        where.append(f"{strict_int('county')} IS NOT NULL")
     if require_year:
         where.append("year IS NOT NULL")
     cond = ("WHERE " + " AND ".join(where)) if where else ""
@@ -90,7 +101,7 @@ def facts_cte(name: str = "facts", variant: str = "final", year_mode: str = "tex
   WHERE house_number IS NOT NULL AND street_name IS NOT NULL
     AND county IS NOT NULL AND issue_date IS NOT NULL),
 {name} AS (
-  SELECT vid, street, house, county, TRY_CAST(county AS INTEGER) AS boro,
+  SELECT vid, street, house, county, {strict_int('county')} AS boro,
     {part_int('house', '-', 1)} AS n1, {part_int('house', '-', 2)} AS n2, year
   FROM {name}_raw {cond})"""
 
@@ -100,7 +111,7 @@ def segs_cte(name: str = "segs", drop_nulls: bool = True) -> str:
     cols = []
     for b in ("l_low_hn", "l_high_hn", "r_low_hn", "r_high_hn"):
         cols += [f"{part_int(b, '-', 1)} AS {b}_1", f"{part_int(b, '-', 2)} AS {b}_2",
-                 f"TRY_CAST({b} AS INTEGER) AS {b}_0"]
+                 f"{strict_int(b)} AS {b}_0"]
     where = ("WHERE physical_id IS NOT NULL AND l_low_hn IS NOT NULL AND l_high_hn IS NOT NULL"
              " AND r_low_hn IS NOT NULL AND r_high_hn IS NOT NULL AND full_street IS NOT NULL"
              " AND st_label IS NOT NULL AND boro_code IS NOT NULL") if drop_nulls else ""

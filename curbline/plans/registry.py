@@ -18,14 +18,14 @@ from curbline.functions import (
     strip_letters, upper_street, year_parsed, year_text,
 )
 from curbline.operators import (
-    ADDRESS_KEYS, branch, branch_joins, clean_facts, clean_segments, count_long,
-    dedupe_labels, distinct_ids, drop_null_facts, fill_zero, match, matchable,
-    max_merge, pivot_years, project_facts, reject_malformed, segment_sides,
-    sum_by_id, union_all, zero_rows,
+    ADDRESS_KEYS, branch, clean_facts, clean_segments, dedupe_labels, distinct_ids,
+    drop_null_facts, fill_zero, match, match_inner, match_outer, matchable,
+    max_merge, pivot_outer, pivot_years, project_facts, reject_malformed,
+    segment_sides, segments_with_counts, sum_by_id, union_branches, zero_rows,
 )
 from curbline.plans import oracle as O
 from curbline.plans import reports
-from curbline.schemas import year_columns
+from curbline.schemas import VIOLATION_CSV_COLUMNS, VIOLATION_CSV_POSITIONS, year_columns
 from curbline.sources import csv as csv_io
 from curbline.sources import fixtures
 
@@ -75,6 +75,29 @@ def q_scan_csv_facts(spark, d):
     return csv_io.read_violations_csv(spark, path)
 
 
+@register("scan_csv_by_position", O.with_(*FX) + "SELECT * FROM fx_violation")
+def q_scan_csv_by_position(spark, d):
+    # the public layout: used fields at fixed positions among others
+    cells = [F.lit("x").alias(f"field {i}") for i in range(25)]
+    for name, at in VIOLATION_CSV_POSITIONS.items():
+        cells[at] = F.col(name).cast("string").alias(f"field {at}")
+    path = csv_io.fresh_path(spark, "facts-layout-csv")
+    _v(spark, d).select(*cells).write.option("header", "true").option("escape", '"').csv(path)
+    return csv_io.read_violations_csv(spark, path, by_position=True)
+
+
+@register("scan_csv_mixed_headers", O.with_(*FX) + "SELECT * FROM fx_violation")
+def q_scan_csv_mixed_headers(spark, d):
+    # two yearly folders: other column order, and a column more
+    path, v = csv_io.fresh_path(spark, "facts-mixed-csv"), _v(spark, d)
+    csv_io.write_violations_csv(v.where("vid % 2 = 0"), f"{path}/even")
+    names = {k: c for c, k in VIOLATION_CSV_COLUMNS.items()}
+    (v.where("vid % 2 <> 0 OR vid IS NULL")
+     .select(F.lit("NY").alias("Plate State"), *[F.col(c).alias(names[c]) for c in reversed(v.columns)])
+     .write.option("header", "true").option("escape", '"').csv(f"{path}/odd"))
+    return csv_io.read_violations_csv(spark, path)
+
+
 @register("scan_csv_segments", O.with_(*FX) + "SELECT * FROM fx_segment")
 def q_scan_csv_segments(spark, d):
     path = csv_io.write_segments_csv(_s(spark, d), csv_io.fresh_path(spark, "segments-csv"))
@@ -108,9 +131,9 @@ def q_clean_facts(spark, d):
 @register("sql_year_filter", O.with_(*FX, O.facts_cte()) +
           "SELECT vid, street, boro, n1, n2, year FROM facts")
 def q_sql_year_filter(spark, d):
-    clean_facts(_v(spark, d)).createOrReplaceTempView("curbline_facts")
-    return spark.sql(f"SELECT vid, street, boro, n1, n2, year FROM curbline_facts "
-                     f"WHERE year >= {min(Y)} AND year <= {max(Y)}")
+    # the view has no name in the session: two calls cannot collide
+    return spark.sql(f"SELECT vid, street, boro, n1, n2, year FROM {{facts}} "
+                     f"WHERE year >= {min(Y)} AND year <= {max(Y)}", facts=clean_facts(_v(spark, d)))
 
 
 @register("recode_county", O.with_(*FX) + f"""SELECT vid, county AS county_raw,
@@ -122,7 +145,7 @@ def q_recode_county(spark, d):
 
 @register("recode_county_strict", O.with_(*FX) + f"""SELECT vid, county_raw, boro FROM (
   SELECT vid, county AS county_raw,
-    TRY_CAST({O.county_case('county', 'no_pbx')} AS INTEGER) AS boro FROM fx_violation)
+    {O.strict_int(O.county_case('county', 'no_pbx'))} AS boro FROM fx_violation)
 WHERE boro IS NOT NULL""")
 def q_recode_county_strict(spark, d):
     from curbline.functions import borough_code
@@ -134,7 +157,7 @@ def q_recode_county_strict(spark, d):
 
 @register("reject_malformed", O.with_(*FX) + f"""SELECT vid, boro, n1, n2, year FROM (
   SELECT vid,
-    TRY_CAST({O.county_case('county', 'no_pbx')} AS INTEGER) AS boro,
+    {O.strict_int(O.county_case('county', 'no_pbx'))} AS boro,
     {O.part_int("regexp_replace(house_number, '[A-Z]', '', 'g')", '-', 1)} AS n1,
     {O.part_int("regexp_replace(house_number, '[A-Z]', '', 'g')", '-', 2)} AS n2,
     CAST(year(try_strptime(issue_date, '%m/%d/%Y')) AS INTEGER) AS year
@@ -323,7 +346,7 @@ for _no, _key in _BRANCH_KEYS.items():
 @register("union_branches", BRANCH_SQL.replace("SELECT * FROM", "SELECT vid, seg_ord, physical_id, branch FROM", 1))
 def q_union_branches(spark, d):
     facts = matchable(_facts(spark, d)).select("vid", "boro", "street", "parity", "n1", "n2")
-    return union_all(branch_joins(facts, _sides(spark, d))).select(*PAIR, "branch")
+    return union_branches(facts, _sides(spark, d)).select(*PAIR, "branch")
 
 
 @register("or_label_match", BRANCH_SQL.replace(
@@ -344,15 +367,11 @@ _NO_ST = O.with_(*FX, O.facts_cte(variant="no_st"), O.segs_cte())
 @register("match_inner_or", _NO_ST + f"""SELECT vid, physical_id, year FROM (
 {O.branches('facts', 'segs', 'f.vid, s.physical_id, f.year')})""")
 def q_match_inner_or(spark, d):
-    return _ticket_matches(spark, d, aliases="no_st").select("vid", "physical_id", "year")
+    return match_inner(_events(spark, d), _sides(spark, d)).select("vid", "physical_id", "year")
 
 
-def _outer(spark, d):
-    """Right-outer form: every cleaned segment row, matched or once with NULLs."""
-    m = _ticket_matches(spark, d, aliases="no_st").select("seg_ord", "physical_id", "vid", "year")
-    segs = clean_segments(_s(spark, d)).select("seg_ord", "physical_id")
-    unmatched = segs.join(m.select("seg_ord").distinct(), "seg_ord", "left_anti")
-    return m.unionByName(unmatched, allowMissingColumns=True)
+def _events(spark, d):
+    return matchable(_facts(spark, d, aliases="no_st")).select("vid", "year", *ADDRESS_KEYS)
 
 
 _OUTER_CTES = _NO_ST + f""", m AS (
@@ -368,7 +387,23 @@ _OUTER_SQL = _OUTER_CTES + "SELECT seg_ord, physical_id, CAST(vid AS BIGINT) AS
 
 @register("match_outer_or", _OUTER_SQL)
 def q_match_outer_or(spark, d):
-    return _outer(spark, d)
+    return match_outer(_events(spark, d), _sides(spark, d), clean_segments(_s(spark, d)))
+
+
+_JOIN_OF_BRANCH = "CASE branch WHEN 1 THEN 1 WHEN 2 THEN 1 WHEN 3 THEN 2 WHEN 4 THEN 2 WHEN 5 THEN 3 WHEN 6 THEN 3 ELSE 4 END"
+
+
+@register("match_outer_branches", _NO_ST + f""", m AS (
+{O.branches('facts', 'segs', 's.seg_ord, s.physical_id, f.vid, f.year')}),
+four AS (SELECT unnest([1, 2, 3, 4]) AS j),
+hit AS (SELECT DISTINCT seg_ord, {_JOIN_OF_BRANCH} AS j FROM m)
+SELECT seg_ord, physical_id, CAST(vid AS BIGINT) AS vid, CAST(year AS INTEGER) AS year FROM (
+  SELECT seg_ord, physical_id, vid, year FROM m
+  UNION ALL
+  SELECT s.seg_ord, s.physical_id, NULL AS vid, NULL AS year FROM segs s, four
+  WHERE NOT EXISTS (SELECT 1 FROM hit WHERE hit.seg_ord = s.seg_ord AND hit.j = four.j))""")
+def q_match_outer_branches(spark, d):
+    return match_outer(_events(spark, d), _sides(spark, d), clean_segments(_s(spark, d)), per="branch")
 
 
 @register("match_first", O.with_(*FX, O.facts_cte(), O.segs_cte()) + f"""SELECT vid,
@@ -425,8 +460,8 @@ _JOINED_WIDE = _joined_wide()
 _SUMS = f", sums AS (SELECT physical_id, {', '.join(f'CAST(sum({c}) AS BIGINT) AS {c}' for c in YC)} FROM joined GROUP BY physical_id)"
 
 
-def _matched_wide(spark, d, aliases="final"):
-    facts = matchable(_facts(spark, d, aliases=aliases))
+def _matched_wide(spark, d):
+    facts = matchable(_facts(spark, d))
     addresses = pivot_years(facts, ADDRESS_KEYS, Y)
     return match(addresses, _sides(spark, d), "all", payload=["seg_ord", "physical_id"])
 
@@ -455,14 +490,12 @@ def q_max_merge_zero_rows(spark, d):
 SELECT s.seg_ord, s.physical_id, {', '.join(f'CAST(coalesce(sum(j.{c}), 0) AS BIGINT) AS {c}' for c in YC)}
 FROM segs s LEFT JOIN joined j ON s.seg_ord = j.seg_ord GROUP BY s.seg_ord, s.physical_id""")
 def q_segments_left_fill(spark, d):
-    per_row = sum_by_id(_matched_wide(spark, d), YC, key="seg_ord")
-    segs = clean_segments(_s(spark, d)).select("seg_ord", "physical_id")
-    return fill_zero(segs.join(per_row, "seg_ord", "left"), YC)
+    return segments_with_counts(matchable(_facts(spark, d)), _sides(spark, d), clean_segments(_s(spark, d)), Y)
 
 
 @register("pivot_by_id", _OUTER_CTES + f"SELECT physical_id, {_PIVOT_ZERO} FROM oj GROUP BY physical_id")
 def q_pivot_by_id(spark, d):
-    return pivot_years(_outer(spark, d), ["physical_id"], Y).orderBy("physical_id")
+    return pivot_outer(_events(spark, d), _sides(spark, d), clean_segments(_s(spark, d)), Y).orderBy("physical_id")
 
 
 @register("count_id_year", O.with_(*FX, _STRICT_FACTS, O.segs_cte(drop_nulls=False)) + f"""SELECT physical_id, year, CAST(count(*) AS BIGINT) AS cnt FROM (

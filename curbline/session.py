@@ -6,7 +6,10 @@ session from them. ``local_session`` is for tests and the benchmark only.
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -40,9 +43,10 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for written intermediate tables.
 
     Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only
-    when neither is set *and* the session is local (tests, the benchmark) a
-    fresh folder is created and registered as the checkpoint dir, so later
-    calls agree; on a cluster a missing setting is an error.
+    when neither is set *and* the master is ``local`` or ``local[...]`` (tests,
+    the benchmark) a fresh folder is created, registered as the checkpoint dir
+    so that later calls agree, and removed when the process ends; on a cluster
+    (or a client that does not know its master) a missing setting is an error.
     """
     try:
         sc = spark.sparkContext
@@ -52,11 +56,12 @@ def shared_dir(spark: SparkSession) -> str:
         spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         master = spark.conf.get("spark.master", "") or ""
-        if master and not master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
             raise RuntimeError(
                 "set spark.checkpoint.dir to a folder shared by all executors; "
                 "a machine-local folder is only used for local[...] sessions")
         found = tempfile.mkdtemp(prefix="curbline-ckpt-")
+        atexit.register(shutil.rmtree, found, ignore_errors=True)
         if sc is not None:
             sc.setCheckpointDir(found)
             found = sc.getCheckpointDir() or found
@@ -81,12 +86,12 @@ def scale_settings(input_bytes: int, total_cores: int,
     * Scan splits of ``partition_bytes`` (100 TB -> ~400k map tasks).
     * The big shuffle is the per-address pre-aggregate, a small fraction
       (``shuffle_ratio``) of the input: the initial shuffle width is that
-      volume over ``partition_bytes``, at least 2 tasks per core, at most
-      20000; AQE coalesces small partitions and splits skewed ones.
+      volume over ``partition_bytes``, at least 2 tasks per core; AQE
+      coalesces small partitions and splits skewed ones.
     * Generated methods stay JIT-compilable (HotSpot's 8000-byte limit).
     """
     shuffle_bytes = int(input_bytes * shuffle_ratio)
-    width = max(2 * total_cores, min(20000, -(-shuffle_bytes // partition_bytes)))
+    width = max(2 * total_cores, -(-shuffle_bytes // partition_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.shuffle.partitions": str(width),

@@ -1,24 +1,29 @@
 """CSV scan and sink.
 
-Scans read the header for column names, keep every field as text (no
-inference pass) and select the used columns by name, so the CSV parser only
-materialises those (CSV column pruning). ``multi_line`` (quoted fields with
+Scans keep every field as text (no inference pass) and select the used columns
+by name, so the CSV parser only materialises those (CSV column pruning). Files
+are grouped by their header line first: files of one folder may have other
+column orders or more columns, each group is read with its own, and a file
+that lacks a used column is an error. ``multi_line`` (quoted fields with
 embedded newlines) makes each file one task; large inputs should be staged
 to Parquet once (``curbline.sources.staging``) and read from there.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from curbline.schemas import (
-    SEGMENT_CSV_COLUMNS, VIOLATION_CSV_COLUMNS, VIOLATION_CSV_POSITIONS, year_columns,
+    SEGMENT, SEGMENT_CSV_COLUMNS, VIOLATION, VIOLATION_CSV_COLUMNS, VIOLATION_CSV_POSITIONS,
+    year_columns,
 )
 from curbline.session import scratch_path
+from curbline.sources.headers import csv_files, headers
 
 CSV_OPTIONS = {"header": "true", "escape": '"'}
 
@@ -28,49 +33,93 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return scratch_path(spark, label)
 
 
-def _scan(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
+def _reader(spark: SparkSession, multi_line: bool):
     return (spark.read.options(**CSV_OPTIONS)
             .option("multiLine", str(multi_line).lower())
-            .option("mode", "PERMISSIVE")
-            .csv(path))
+            .option("mode", "PERMISSIVE"))
 
 
-def _rename(df: DataFrame, mapping: dict[str, str], order_col: str,
-            casts: dict[str, str]) -> DataFrame:
+def _scans(spark: SparkSession, path: str, multi_line: bool) -> list[DataFrame]:
+    """One scan per header found at ``path``, its columns as text."""
+    out = []
+    for header, files in headers(spark, csv_files(spark, path)).items():
+        # a repeated name is told apart by its place, as an inferred schema would
+        names = [f"{n}{i}" if header.count(n) > 1 else n for i, n in enumerate(header)]
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        out.append(_reader(spark, multi_line).schema(schema).csv(files))
+    return out
+
+
+def _select(raw: DataFrame, mapping: dict[str, str], casts: dict[str, str], may_lack: str | None = None) -> DataFrame:
     cols = []
-    for raw, name in mapping.items():
-        if raw in df.columns:
-            c = F.col(f"`{raw}`")
+    for source, name in mapping.items():
+        if source in raw.columns:
+            c = F.col(f"`{source}`")
             cols.append((c.try_cast(casts[name]) if name in casts else c).alias(name))
-        elif name == order_col:
-            # no row-order column in the file: number rows in file order
-            cols.append(F.monotonically_increasing_id().alias(name))
+        elif name == may_lack:
+            cols.append(F.lit(None).cast(casts[name]).alias(name))
         else:
-            raise ValueError(f"CSV input lacks column {raw!r}")
-    return df.select(*cols)
+            raise ValueError(f"CSV input lacks column {source!r}; a file has {raw.columns}")
+    return raw.select(*cols)
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    return functools.reduce(DataFrame.unionByName, frames)
 
 
 def read_violations_csv(spark: SparkSession, path: str, multi_line: bool = True,
                         by_position: bool = False) -> DataFrame:
     """A directory (or file) of event CSVs -> schema VIOLATION.
 
-    Columns are found by header name, or with ``by_position`` at the fixed
-    positions of the public layout (S3); the header line is skipped either way.
+    Columns are found by each file's own header names, or with ``by_position``
+    at the fixed positions of the public layout (S3); the header line is
+    skipped either way. No files with data give no rows.
     """
-    raw = _scan(spark, path, multi_line)
+    raws = _scans(spark, path, multi_line)
+    if not raws:
+        return spark.createDataFrame([], VIOLATION)
     if by_position:
-        out = []
-        for name in VIOLATION_CSV_COLUMNS.values():          # schema order
-            c = F.col(f"`{raw.columns[VIOLATION_CSV_POSITIONS[name]]}`")
-            out.append((c.try_cast("bigint") if name == "vid" else c).alias(name))
-        return raw.select(*out)
-    return _rename(raw, VIOLATION_CSV_COLUMNS, "vid", {"vid": "bigint"})
+        return _union([raw.select(*[
+            (F.col(f"`{raw.columns[VIOLATION_CSV_POSITIONS[name]]}`").try_cast("bigint") if name == "vid"
+             else F.col(f"`{raw.columns[VIOLATION_CSV_POSITIONS[name]]}`")).alias(name)
+            for name in VIOLATION_CSV_COLUMNS.values()]) for raw in raws])       # schema order
+    # an absent event id is the row's place: unique, all that is asked of it
+    out = _union([_select(raw, VIOLATION_CSV_COLUMNS, {"vid": "bigint"}, may_lack="vid") for raw in raws])
+    if all("Summons Number" in raw.columns for raw in raws):
+        return out
+    return out.withColumn("vid", F.coalesce("vid", F.monotonically_increasing_id()))
 
 
 def read_segments_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """A segment CSV -> schema SEGMENT."""
-    return _rename(_scan(spark, path, multi_line), SEGMENT_CSV_COLUMNS, "seg_ord",
-                   {"seg_ord": "bigint", "physical_id": "bigint", "boro_code": "int"})
+    """Segment CSVs -> schema SEGMENT.
+
+    Without an order column (``OBJECTID``) rows are numbered by file name and
+    by their place in the file, however many files or splits there are.
+    """
+    casts = {"seg_ord": "bigint", "physical_id": "bigint", "boro_code": "int"}
+    raws = _scans(spark, path, multi_line)
+    if not raws:
+        return spark.createDataFrame([], SEGMENT)
+    if all("OBJECTID" in raw.columns for raw in raws):
+        return _union([_select(raw, SEGMENT_CSV_COLUMNS, casts) for raw in raws])
+    if any("OBJECTID" in raw.columns for raw in raws):
+        raise ValueError("some segment files have the order column 'OBJECTID' and some lack it")
+    return _in_file_order(_union([
+        _select(raw, SEGMENT_CSV_COLUMNS, casts, may_lack="seg_ord").select(
+            "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_split"))
+        for raw in raws]), "seg_ord")
+
+
+def _in_file_order(rows: DataFrame, number: str) -> DataFrame:
+    """Numbers rows by (file, place in the file). Only the splits' row counts,
+    one row per split, pass through one task; the rows do not move."""
+    placed = rows.withColumn("_place", F.monotonically_increasing_id())
+    splits = placed.groupBy("_file", "_split").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    before = Window.orderBy("_file", "_split").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("_file", "_split", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    return (placed.join(splits, ["_file", "_split"])
+            .withColumn(number, F.col("_before") + F.col("_place") - F.col("_first"))
+            .select(*[c for c in rows.columns if not c.startswith("_")]))
 
 
 def _write(df: DataFrame, path: str, mode: str, header: bool) -> str:

@@ -22,6 +22,8 @@ _VIOLATION_EXPRS = [
     """CASE WHEN o_orderkey % 97 = 0 THEN NULL
          WHEN o_orderkey % 89 = 0 THEN 'N/A'
          WHEN o_orderkey % 83 = 0 THEN '12b'
+         WHEN o_orderkey % 71 = 0 THEN concat(CAST(o_custkey % 60 + 1 AS STRING), '.5')
+         WHEN o_orderkey % 67 = 0 THEN '1e1'
          WHEN o_orderkey % 79 = 0 THEN concat(CAST(o_custkey % 60 + 1 AS STRING), '-',
               CAST((o_orderkey + o_custkey) % 40 + 1 AS STRING), '-9')
          WHEN o_orderkey % 7 < 3 THEN concat(CAST(o_custkey % 60 + 1 AS STRING), '-',
@@ -60,24 +62,6 @@ _SEGMENT_EXPRS = [
 ]
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread an input that arrives as fewer splits than the cluster has cores.
-
-    A Parquet file with a single row group is one split, so all per-row work
-    on it would run in one task. Only then is it round-robin repartitioned to
-    the default parallelism; an input large enough to matter already has at
-    least that many splits and is left as it is (no shuffle).
-    """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave as is
-        return df
-    if splits < target:
-        return df.repartition(target)
-    return df
-
-
 # Columns of the driver's tables that are read (explicit: no schema-inference job).
 SOURCE_SCHEMAS = {
     "orders": T.StructType([T.StructField("o_orderkey", T.LongType()),
@@ -92,7 +76,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     reader = spark.read
     if name in SOURCE_SCHEMAS:
         reader = reader.schema(SOURCE_SCHEMAS[name])
-    return spread(reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def violations_from_orders(orders: DataFrame) -> DataFrame:

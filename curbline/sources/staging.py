@@ -19,11 +19,12 @@ from curbline.functions import year_text
 def stage_violations(violations: DataFrame, path: str, mode: str = "errorifexists") -> str:
     """Write events as Parquet under ``path``/issue_year=YYYY/.
 
-    No shuffle: every task sorts its own rows by year and writes one file per
-    year it holds (a year is never funnelled into one task, however large).
+    One shuffle rebalances the rows by year: small years share a task, a large
+    one is split into tasks of the advisory partition size (adaptive
+    execution), so the number of files follows the data, not scan tasks x years.
     """
     staged = violations.withColumn("issue_year", year_text("issue_date"))
-    (staged.sortWithinPartitions("issue_year")
+    (staged.hint("rebalance", "issue_year").sortWithinPartitions("issue_year")
         .write.mode(mode).partitionBy("issue_year").parquet(path))
     return path
 

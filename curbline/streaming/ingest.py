@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
-import xxhash
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,43 +12,67 @@ from pyspark.sql import types as T
 from curbline.functions import year_text
 from curbline.schemas import VIOLATION_CSV_COLUMNS
 from curbline.session import shared_dir
+from curbline.sources.headers import csv_files, headers
 
-# Column order of the event CSVs written by curbline.sources.csv
-DEFAULT_CSV_ORDER = ("Summons Number", "House Number", "Street Name", "Violation County",
-                     "Issue Date")
+
+def _columns(spark: SparkSession, source_dir: str) -> tuple[str, ...]:
+    found = headers(spark, csv_files(spark, source_dir))
+    if len(found) != 1:
+        shown = "; ".join(f"{files[0]}: {', '.join(h)}" for h, files in found.items())
+        raise ValueError("a stream needs files of one header, found "
+                         + (f"{len(found)} ({shown})" if found else "no file with data"))
+    return next(iter(found))
+
+
+def _batches(spark: SparkSession, checkpoint: str) -> int:
+    """Batches committed so far, by the commit log's last number."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(checkpoint + "/commits")
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(where)] if fs.exists(where) else []
+    return max((int(n) + 1 for n in names if n.isdigit()), default=0)
 
 
 def ingest_violation_csvs(
     spark: SparkSession,
     source_dir: str,
     staged_path: str,
-    csv_columns: Sequence[str] = DEFAULT_CSV_ORDER,
+    csv_columns: Sequence[str] | None = None,
     checkpoint: str | None = None,
     max_files_per_trigger: int | None = None,
+    multi_line: bool = True,
 ) -> int:
     """Append every not-yet-ingested CSV file of ``source_dir`` to ``staged_path``.
 
     ``csv_columns`` are the header names in file order (a streaming scan needs
-    its schema up front; every field is read as text). The file log in the
-    checkpoint (default: below the shared folder, keyed by the target path)
-    makes repeated calls ingest each file exactly once, also after a failure.
-    Returns the number of micro-batches run.
+    its schema up front; every field is read as text); by default they are read
+    from the files, which must agree. Every file's header is checked against
+    them while it is read: another order or other names stop the stream with an
+    error instead of landing in the wrong columns. ``multi_line=False`` lets
+    files without line breaks in fields be split over many tasks.
+
+    The file log in the checkpoint (default: below the shared folder, keyed by
+    the target path) makes repeated calls ingest each file exactly once, also
+    after a failure. Returns the number of micro-batches committed.
     """
+    csv_columns = tuple(csv_columns or _columns(spark, source_dir))
+    missing = [c for c in VIOLATION_CSV_COLUMNS if c not in csv_columns]
+    if missing:
+        raise ValueError(f"streaming ingest needs the columns {missing}")
     schema = T.StructType([T.StructField(c, T.StringType()) for c in csv_columns])
     reader = (spark.readStream.schema(schema)
-              .option("header", "true").option("escape", '"').option("multiLine", "true"))
+              .option("header", "true").option("enforceSchema", "false").option("escape", '"')
+              .option("multiLine", str(multi_line).lower()))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = reader.csv(source_dir)
-    if "Summons Number" not in csv_columns:
-        raise ValueError("streaming ingest needs the event id column 'Summons Number'")
     events = raw.select(*[
         (F.col(f"`{src}`").try_cast("bigint") if dst == "vid" else F.col(f"`{src}`")).alias(dst)
-        for src, dst in VIOLATION_CSV_COLUMNS.items() if src in csv_columns])
+        for src, dst in VIOLATION_CSV_COLUMNS.items()])
     staged = events.withColumn("issue_year", year_text("issue_date"))
     if checkpoint is None:
-        key = xxhash.xxh64_hexdigest(staged_path)
+        key = hashlib.sha256(staged_path.encode()).hexdigest()[:16]
         checkpoint = f"{shared_dir(spark)}/ingest-{key}"
+    before = _batches(spark, checkpoint)
     query = (staged.writeStream.format("parquet")
              .option("path", staged_path)
              .option("checkpointLocation", checkpoint)
@@ -58,4 +82,4 @@ def ingest_violation_csvs(
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    return len(query.recentProgress)
+    return _batches(spark, checkpoint) - before

@@ -1,12 +1,13 @@
 """Column functions: parsing table, recoding, years, slope and rounding."""
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from curbline.functions import (
-    alias_map, borough_code, number_part, ols_slope, parity, recode_county,
-    rounded, strip_letters, whole_number, year_parsed, year_text,
+    alias_map, borough_code, number_part, ols_slope, parity, parse_int,
+    recode_county, rounded, strip_letters, whole_number, year_parsed, year_text,
 )
 
 # The 20 report rows published with the reference job
@@ -76,7 +77,7 @@ def test_round_half_up(spark):
 HOUSES = [
     ("12", 12, None), ("12A", 12, None), ("12-34", 12, 34), ("1-2-3", 1, 2),
     ("-7", None, 7), ("12b", None, None), ("N/A", None, None), ("12 1/2", None, None),
-    ("12.5", None, None), ("99999999999", None, None), ("", None, None),
+    ("12.5", 12, None), ("99999999999", None, None), ("", None, None),
     (" 12 ", 12, None), ("0", 0, None), ("12-", 12, None), ("40-01", 40, 1),
     (None, None, None),
 ]
@@ -109,6 +110,20 @@ def test_whole_number(spark):
     assert [r[0] for r in df.select(whole_number("h")).collect()] == [12, None, None]
 
 
+def test_parse_int_cuts_decimals_and_refuses_the_rest(spark):
+    """Values of Spark 2.4's string to int cast (spaces apart)."""
+    values = [("12.5", 12), ("12.", 12), (".5", 0), (".", 0), ("+7", 7), ("-7", -7), ("-7.9", -7), ("+.5", 0), ("0012", 12),
+              (" 12 ", 12), ("", None), ("-", None), ("+", None), ("1e2", None), ("1_000", None), ("12.5.1", None), ("12-5", None),
+              ("1 2", None), ("0x1F", None), ("2147483647", 2147483647), ("2147483648", None), ("-2147483648", -2147483648),
+              ("5-", None), ("5+", None), ("--5", None), ("12.x", None), ("NaN", None), (None, None)]
+    df = spark.createDataFrame([(v,) for v, _ in values], "h string")
+    assert [r[0] for r in df.select(parse_int("h")).collect()] == [n for _, n in values]
+    con = duckdb.connect()
+    from curbline.plans.oracle import strict_int
+    sql = strict_int("h")
+    assert [con.execute(f"SELECT {sql} FROM (SELECT ? AS h)", [v]).fetchall()[0][0] for v, _ in values] == [n for _, n in values]
+
+
 def test_parity_uses_second_part(spark):
     df = spark.createDataFrame([(12, None), (12, 35), (13, 34)], "a int, b int")
     assert [r[0] for r in df.select(parity("a", "b")).collect()] == [0, 1, 0]
@@ -150,7 +165,9 @@ def test_years(spark):
 def test_scale_settings():
     from curbline.session import scale_settings
     big = scale_settings(100 * 1024 ** 4, 8000)
-    assert int(big["spark.sql.shuffle.partitions"]) == 20000
+    assert int(big["spark.sql.shuffle.partitions"]) == 20480        # 256 MiB each, no cap
+    huge = scale_settings(1000 * 1024 ** 4, 8000)
+    assert int(huge["spark.sql.shuffle.partitions"]) == 204800
     small = scale_settings(10 * 1024 ** 2, 8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001
-from curbline.plans import reports
+from curbline.plans import job, reports
 from curbline.sources import csv as csv_io
 from curbline.sources import fixtures, staging
 
@@ -145,3 +145,77 @@ def test_command_line_counts_with_checkpoint(spark):
     back = spark.read.schema(schema).csv(out)
     want = reports.count_id_year(v, s)
     assert sorted(back.collect()) == sorted(want.collect())
+
+
+def write_csv(path, text):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(text)
+
+
+A = "Summons Number,Plate ID,House Number,Street Name,Violation County,Issue Date\n"
+B = "Issue Date,Violation County,Street Name,House Number,Summons Number\n"
+
+
+def test_mixed_column_orders_and_extra_columns(spark):
+    root = tempfile.mkdtemp(prefix="curbline-mixed-")
+    write_csv(f"{root}/2015/a.csv", A + '1,X,14,"MAIN, ST",MN,06/25/2015\n')
+    write_csv(f"{root}/2016/b.csv", B + "06/25/2016,MN,MAIN ST,16,2\n")
+    write_csv(f"{root}/2017/empty.csv", "")
+    want = [(1, "14", "MAIN, ST", "MN", "06/25/2015"), (2, "16", "MAIN ST", "MN", "06/25/2016")]
+    for multi_line in (True, False):
+        got = csv_io.read_violations_csv(spark, root, multi_line=multi_line).collect()
+        assert sorted(tuple(r) for r in got) == want
+    write_csv(f"{root}/2018/c.csv", "Summons Number,House Number\n3,1\n")
+    with pytest.raises(ValueError, match="Street Name"):
+        csv_io.read_violations_csv(spark, root)
+
+
+def test_segment_order_over_several_files(spark):
+    root = tempfile.mkdtemp(prefix="curbline-order-")
+    head = "PHYSICALID,BOROCODE,FULL_STREE,ST_LABEL,L_LOW_HN,L_HIGH_HN,R_LOW_HN,R_HIGH_HN\n"
+    line = "{},1,A ST,A ST,1,9,2,10\n"
+    write_csv(f"{root}/a.csv", head + "".join(line.format(i) for i in range(3)))
+    write_csv(f"{root}/b.csv", head + "".join(line.format(i) for i in range(3, 3000)))      # the larger file
+    write_csv(f"{root}/c.csv", head + line.format(3000))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        for multi_line in (True, False):
+            rows = csv_io.read_segments_csv(spark, root, multi_line=multi_line).collect()
+            assert sorted((r.seg_ord, r.physical_id) for r in rows) == [(i, i) for i in range(3001)]
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_staging_writes_few_files(spark):
+    v = fixtures.violations(spark, SF001).repartition(64)
+    path = staging.stage_violations(v, tempfile.mkdtemp(prefix="curbline-stage-") + "/t")
+    files = [f for _, _, names in os.walk(path) for f in names if f.endswith(".parquet")]
+    years = v.selectExpr("get(split(issue_date, '/'), 2) AS y").distinct().count()
+    assert len(files) <= 2 * years + 2
+    assert staging.read_staged_violations(spark, path).count() == v.count()
+
+
+def test_counts_job_keeps_to_the_years_given(spark, monkeypatch):
+    root = tempfile.mkdtemp(prefix="curbline-job-")
+    csv_io.write_violations_csv(fixtures.violations(spark, SF001), f"{root}/v")
+    csv_io.write_segments_csv(fixtures.segments(spark, SF001), f"{root}/s")
+
+    def years(*more):
+        out = f"{root}/out{len(os.listdir(root))}"
+        assert job.main([out, "--violations", f"{root}/v", "--segments", f"{root}/s", "--report", "counts", *more]) == 0
+        return {r[1] for r in spark.read.csv(out).collect()}
+
+    assert years("--years", "1995-1995") == {"1995"}
+    assert len(years()) > 1
+
+
+def test_job_options_reach_the_report(spark):
+    args = job.build_parser().parse_args(["o", "--violations", "v", "--segments", "s", "--salt", "auto", "--strategy", "preaggregate",
+                                          "--broadcast", "no", "--input-bytes", str(10 ** 14), "--cores", "8000"])
+    assert (args.salt, args.strategy, args.broadcast) == ("auto", "preaggregate", "no")
+    assert int(job.settings(args)["spark.sql.shuffle.partitions"]) > 18_000
+    few = job.settings(job.build_parser().parse_args(["o", "--violations", "v", "--segments", "s"]))
+    assert few["spark.sql.codegen.hugeMethodLimit"] == "8000" and "spark.sql.shuffle.partitions" not in few

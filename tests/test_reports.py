@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF001
-from curbline.plans import reports
+from curbline.plans import registry, reports
 from curbline.sources import fixtures
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -21,13 +21,14 @@ def duck():
 
 
 def _norm(rows):
-    return sorted(tuple(f"{v:.9g}" if isinstance(v, float) else v for v in r) for r in rows)
+    return sorted((tuple(f"{v:.9g}" if isinstance(v, float) else v for v in r) for r in rows), key=repr)
 
 
 def test_contract_keys_match():
     q, o = entry.queries(), entry.oracle_sql()
-    assert set(q) == set(o)
-    assert len(q) >= 54
+    assert set(registry.QUERIES) == set(registry.ORACLE)
+    assert set(registry.QUERIES) <= set(q) and set(o) <= set(q)
+    assert len(registry.QUERIES) >= 59
 
 
 def test_entry_runs(spark):
@@ -38,7 +39,7 @@ def test_entry_runs(spark):
     assert [r[0] for r in rows] == sorted(r[0] for r in rows)
 
 
-@pytest.mark.parametrize("key", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(registry.ORACLE))
 def test_every_key_against_oracle(spark, duck, key):
     df = entry.queries()[key](spark, SF001)
     s_rows = df.collect()
@@ -70,7 +71,7 @@ def test_report_policy_all_counts_every_segment_row(spark):
     v, s = fixtures.violations(spark, SF001), fixtures.segments(spark, SF001)
     rep = reports.trend_report(v, s, fixtures.FIXTURE_YEARS)
     total = rep.selectExpr("sum(y1995 + y1996 + y1997 + y1998 + y1999)").first()[0]
-    assert total == 388
+    assert total == 386
 
 
 def test_report_plan(spark):
@@ -99,7 +100,7 @@ def test_counts_per_id_year_both_plans(spark):
     sides = segment_sides(clean_segments(s))
     a = sorted(reports.counts_per_id_year(facts, sides, broadcast=True).collect())
     b = sorted(reports.counts_per_id_year(facts, sides, broadcast=False, salt=2).collect())
-    assert a == b and sum(r["cnt"] for r in a) == 388
+    assert a == b and sum(r["cnt"] for r in a) == 386
 
 
 def test_pivot_years_equals_native_pivot(spark):
@@ -124,18 +125,54 @@ def test_strategies_agree(spark, strategy):
     assert got == want
 
 
-def test_coverage_depth(spark):
-    from curbline.operators import clean_segments, segment_sides
-    from curbline.operators.match import coverage_depth, probe_rows
-    tiles = spark.createDataFrame(
-        [(i, i, 1, "A", 0, "R", "full", 10 * i, 10 * i + 9, None, None, None, None) for i in range(50)],
-        "seg_ord long, physical_id long, boro int, street string, parity int, side string, "
-        "name_role string, s_lo int, s_hi int, lo1 int, hi1 int, lo2 int, hi2 int")
-    assert coverage_depth(probe_rows(tiles)) == pytest.approx(1.0)
-    piled = tiles.withColumn("s_lo", tiles.s_lo * 0).withColumn("s_hi", tiles.s_hi * 0 + 9)
-    assert coverage_depth(probe_rows(piled)) == pytest.approx(50.0)
-    d = coverage_depth(probe_rows(segment_sides(clean_segments(fixtures.segments(spark, SF001)))))
-    assert 0.5 < d < 2.0
+SIDES = ("seg_ord long, physical_id long, boro int, street string, parity int, side string, "
+         "name_role string, s_lo int, s_hi int, lo1 int, hi1 int, lo2 int, hi2 int")
+
+
+def side(i, street, lo, hi):
+    return (i, i, 1, street, 0, "R", "full", lo, hi, None, None, None, None)
+
+
+def measured(spark, rows):
+    from curbline.operators.match import plan_match, probe_rows
+    return plan_match(probe_rows(spark.createDataFrame(rows, SIDES), ["physical_id"]))
+
+
+def test_bucket_load(spark):
+    tiles = measured(spark, [side(i, "A", 10 * i, 10 * i + 9) for i in range(50)])
+    assert tiles.mean_load < 4 and reports.join_first(tiles, "auto")
+    piled = measured(spark, [side(i, "A", 0, 9) for i in range(500)])
+    assert piled.mean_load == pytest.approx(500) and piled.worst_load == 500
+    assert not reports.join_first(piled, "auto")
+
+
+def test_pile_behind_one_wide_row_forces_count_first(spark):
+    """5,000 copies of one range and one row over the whole street: the average
+    over the street is near 1, the fullest bucket is not."""
+    rows = [side(j, "HOT", 0, 9) for j in range(5000)] + [side(5000, "HOT", 0, 999_999)]
+    plan = measured(spark, rows)
+    assert plan.worst_load >= 5000 and not reports.join_first(plan, "auto")
+    # the same behind many tidy streets, where the mean over all buckets is low
+    tidy = [side(9000 + i, f"S{i % 400}", 10 * (i // 400), 10 * (i // 400) + 9) for i in range(8000)]
+    hidden = measured(spark, tidy + rows[:200])
+    assert hidden.worst_load >= 200 and not reports.join_first(hidden, "auto")
+
+
+def test_measured_plan_is_reused(spark):
+    v, s = fixtures.violations(spark, SF001), fixtures.segments(spark, SF001)
+    want = reports.trend_report(v, s, fixtures.FIXTURE_YEARS).collect()
+    plan = reports.measure_segments(s)
+    assert reports.trend_report(v, s, fixtures.FIXTURE_YEARS, plan=plan).collect() == want
+
+
+@pytest.mark.parametrize("report", ["trend_report", "trend_report_r3", "trend_clean_segments", "trend_matched_segments", "count_id_year"])
+def test_extreme_bounds_end_no_report(spark, report):
+    v, s = fixtures.violations(spark, SF001), fixtures.segments(spark, SF001)
+    columns = s.columns
+    low = {"l_low_hn": "-7", "r_low_hn": "0", "l_high_hn": "2147483647", "r_high_hn": "2147483647"}
+    dirty = s.limit(1).selectExpr(*[f"'{low[c]}' AS {c}" if c in low else ("CAST(999999 AS BIGINT) AS seg_ord" if c == "seg_ord" else c) for c in columns])
+    rows = getattr(reports, report)(v, s.unionByName(dirty), fixtures.FIXTURE_YEARS).collect()
+    assert rows
 
 
 @pytest.mark.parametrize("strategy", ["join_first", "preaggregate"])
@@ -146,20 +183,3 @@ def test_checkpoint_cuts_lineage(spark, strategy):
     plan = cut._jdf.queryExecution().optimizedPlan().toString()
     assert "LogicalRDD" in plan                    # reads the checkpointed table
     assert cut.collect() == want
-
-
-def test_hot_street_of_copies_forces_count_first(spark):
-    """Many tiled streets hide one street piled with copies in the average;
-    the worst-street depth still sends the report to count-first."""
-    from curbline.operators.match import depth_profile, plan_match, probe_rows
-    rows = [(i, i, 1, f"S{i % 400}", 0, "R", "full", 10 * (i // 400), 10 * (i // 400) + 9,
-             None, None, None, None) for i in range(8000)]
-    rows += [(9000 + j, 9000, 1, "HOT", 0, "R", "full", 0, 9, None, None, None, None)
-             for j in range(200)]
-    sides = spark.createDataFrame(
-        rows, "seg_ord long, physical_id long, boro int, street string, parity int, side string, "
-              "name_role string, s_lo int, s_hi int, lo1 int, hi1 int, lo2 int, hi2 int")
-    probe = probe_rows(sides, ["physical_id"])
-    average, worst = depth_profile(probe)
-    assert average < reports.JOIN_FIRST_MAX_DEPTH and worst >= 200
-    assert not reports.join_first(probe, plan_match(probe), "auto")
