@@ -44,6 +44,14 @@ def only(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in columns])
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``df`` has no such column (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def sized_broadcast(df: DataFrame, rows: int, row_bytes: int, limit: int = 8 << 20) -> DataFrame:
     """Broadcast hint only when ``rows`` x ``row_bytes`` (both known) is in bounds."""
     return F.broadcast(df) if rows * row_bytes <= limit else df
