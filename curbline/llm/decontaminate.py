@@ -22,7 +22,6 @@ its passages and the (words x rank) basis.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
