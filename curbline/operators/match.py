@@ -332,9 +332,12 @@ def branch(matched: DataFrame, branch_no: int) -> DataFrame:
 
 
 def branch_sides(sides: DataFrame) -> list[DataFrame]:
-    """The sides of the eight branches, with the branch number."""
+    """The sides of the eight branches, with the branch number; a branch keeps
+    the bounds of its own kind of number only."""
+    none = F.lit(None).cast("int")
     return [sides.where((F.col("side") == side) & (F.col("name_role") == role))
-            .withColumn("branch", F.lit(no)) for no, (_, side, role) in BRANCHES.items()]
+            .withColumns({"branch": F.lit(no), "s_lo" if compound else "lo2": none})
+            for no, (compound, side, role) in BRANCHES.items()]
 
 
 def union_branches(facts: DataFrame, sides: DataFrame, broadcast: bool | None = None,
@@ -344,9 +347,7 @@ def union_branches(facts: DataFrame, sides: DataFrame, broadcast: bool | None =
     The union is taken over the branches' segment sides, a dimension, and joined
     once, so the events are scanned once instead of eight times.
     """
-    joined = match(facts, union_all(branch_sides(sides)), "all", broadcast, salt, payload=[*SEGMENT_OUT, "branch"])
-    # a side row serves simple and compound numbers; a branch has one kind
-    return joined.where((F.col("branch") > 4) == F.col("n2").isNotNull())
+    return match(facts, union_all(branch_sides(sides)), "all", broadcast, salt, payload=[*SEGMENT_OUT, "branch"])
 
 
 def union_all(dfs: list[DataFrame]) -> DataFrame:

@@ -73,10 +73,18 @@ SOURCE_SCHEMAS = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the driver's tables, as it is split on disk.
+
+    A file of one row group is one task. A caller who runs on such files (the
+    benchmark) may set ``curbline.source.splits``: the rows are then dealt out
+    over so many partitions first. Off unless set, whatever the size.
+    """
+    splits = spark.conf.get("curbline.source.splits", None)
     reader = spark.read
     if name in SOURCE_SCHEMAS:
         reader = reader.schema(SOURCE_SCHEMAS[name])
-    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    rows = reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return rows.repartition(int(splits)) if splits else rows
 
 
 def violations_from_orders(orders: DataFrame) -> DataFrame:
