@@ -51,6 +51,11 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN_LENGTH = {k[:2]: int(k[2:]) for k in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24 FI18 FK18 "
+    "FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 "
+    "MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 SI19 "
+    "SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30").split()}
 _WORD = re.compile(r"[a-z]+")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 
@@ -70,6 +75,25 @@ def mod97(iban: str) -> bool:
     return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
 
 
+def ibans(text: str) -> Iterator[tuple[str, int, int]]:
+    """Runs of the country's length whose check digits hold, else whole runs (a run may go on into other words)."""
+    m = _IBAN.search(text)
+    while m:
+        run, start, end = m[0], m.start(), -1
+        own = 0
+        for at, c in enumerate(run, 1):
+            own += c != " "
+            if own == _IBAN_LENGTH.get(run[:2]):
+                if not run[at:at + 1].isalnum() and mod97(run[:at].replace(" ", "")):
+                    end = start + at
+                break
+        if end < 0 and mod97(run.replace(" ", "")):
+            end = m.end()
+        if end >= 0:
+            yield "iban", start, end
+        m = _IBAN.search(text, end if end >= 0 else start + 1)
+
+
 def emails(text: str) -> Iterator[tuple[int, int]]:
     """Leftmost non-overlapping addresses, found from their @ signs."""
     free, at = 0, text.find("@")
@@ -107,9 +131,7 @@ def proposals(text: str) -> Iterator[tuple[str, int, int]]:
         for m in _PHONE.finditer(text):
             if 8 <= len(_NOT_DIGIT.sub("", m[0])) <= 15:
                 yield "phone", m.start(), m.end()
-    for m in _IBAN.finditer(text):
-        if mod97(m[0].replace(" ", "")):
-            yield "iban", m.start(), m.end()
+    yield from ibans(text)
     yield from short
 
 

@@ -84,3 +84,11 @@ def test_edge_rows(spark):
     got = pii.find_personal_data(docs).collect()
     assert sorted(len(r.spans) for r in got) == [0, 0, 0, 1, 50_000]
     assert pii.find_personal_data(docs.limit(0)).collect() == []
+
+
+def test_iban_followed_by_other_capitals_or_numbers():
+    for text, iban in (("DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX", "DE89 3704 0044 0532 0130 00"),
+                       ("IBAN DE89370400440532013000 BIC COBADEFF", "DE89370400440532013000"),
+                       ("GB82WEST12345698765432 2024-01-01", "GB82WEST12345698765432"),
+                       ("AB12 CDEF GHIJ KLMN DE89 3704 0044 0532 0130 00", "DE89 3704 0044 0532 0130 00")):
+        assert [text[s["start"]:s["end"]] for s in pii.spans(text) if s["kind"] == "iban"] == [iban], text
