@@ -6,7 +6,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from given_tables import SF001
 from curbline.plans import job, reports
 from curbline.sources import csv as csv_io
 from curbline.sources import fixtures, staging

@@ -5,7 +5,7 @@ import collections
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from given_tables import SF001
 from curbline.operators import (
     branch, clean_facts, clean_segments, match, match_outer, matchable,
     segment_sides, union_branches,

@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF001
+from given_tables import SF001
 from curbline.plans import registry, reports
 from curbline.sources import fixtures
 
