@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbline.llm import decontaminate, langid, lines, packing, pii, secrets, simhash, toxicity, vectors, warc
+from curbline.llm import decontaminate, divergence, langid, lines, packing, pii, secrets, simhash, toxicity, vectors, warc
 from curbline.llm.common import table
 
 
@@ -104,6 +104,11 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(id_remainder(4) == 2, F.lit(True)).alias("held_out"), "lang_pred", "score")
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far every (language, source) is from the language's other sources, and its own words."""
+    return divergence.source_divergence(table(spark, sf_dir, "documents"), min_docs=10, top_terms=10)
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_pii": op2_pii,
@@ -115,6 +120,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_vectors": op9_vectors,
     "op10_langid": op10_langid,
+    "op12_divergence": op12_divergence,
 }
 
 #: An exact search: the codes' bounds lose a true neighbour about once in 10,000 rows.
@@ -132,4 +138,40 @@ ranked AS (
 SELECT * FROM ranked WHERE "rank" <= 10
 """
 
-ORACLE: dict[str, str] = {"op9_vectors": OP9_SQL}
+#: Every group against every kept word, zero counts included, where the query sums sparsely.
+OP12_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+found AS (SELECT d, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+kept AS (SELECT lang, term FROM found GROUP BY ALL HAVING count(DISTINCT d) >= 10),
+vocabulary AS (SELECT lang, count(*) AS v FROM kept GROUP BY ALL),
+counted AS (SELECT lang, source, term, count(*) AS n FROM found SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+own AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n
+  FROM (SELECT DISTINCT lang, source FROM docs) g JOIN kept k USING (lang) LEFT JOIN counted c USING (lang, source, term)),
+shares AS (
+  SELECT lang, source, term, n,
+         CAST(1 + (1000000000::HUGEINT * (n + 2)) // (sum(n) OVER (PARTITION BY lang, source) + 2 * v) AS HUGEINT) AS p
+  FROM own JOIN vocabulary USING (lang)),
+whole AS (
+  SELECT lang, term, CAST(1 + (1000000000::HUGEINT * (n + 2)) // (sum(n) OVER (PARTITION BY lang) + 2 * v) AS HUGEINT) AS q
+  FROM (SELECT lang, term, sum(n) AS n FROM counted GROUP BY ALL) JOIN vocabulary USING (lang)),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+bare AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, 0 AS value
+  FROM (SELECT DISTINCT lang, source FROM docs) a JOIN (SELECT DISTINCT lang, source FROM docs) b ON a.lang = b.lang AND a.source <> b.source
+  WHERE a.lang NOT IN (SELECT lang FROM vocabulary)),
+terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q)) // (p + q) AS value
+  FROM shares JOIN whole USING (lang, term) WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+         CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS "rank"
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM bare UNION ALL SELECT * FROM terms))
+SELECT * FROM ranked WHERE part = 'pair' OR "rank" <= 10
+"""
+
+ORACLE: dict[str, str] = {"op9_vectors": OP9_SQL, "op12_divergence": OP12_SQL}
