@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbline.llm import decontaminate, divergence, langid, lines, packing, pii, secrets, simhash, toxicity, vectors, warc
+from curbline.llm import decontaminate, divergence, langid, lines, packing, pii, secrets, simhash, superminhash, toxicity, vectors, warc
 from curbline.llm.common import table
 
 
@@ -104,6 +104,11 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(id_remainder(4) == 2, F.lit(True)).alias("held_out"), "lang_pred", "score")
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components: 5-word shingles, 85 % of the union in common."""
+    return superminhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85, shingle=5)
+
+
 def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How far every (language, source) is from the language's other sources, and its own words."""
     return divergence.source_divergence(table(spark, sf_dir, "documents"), min_docs=10, top_terms=10)
@@ -120,6 +125,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_vectors": op9_vectors,
     "op10_langid": op10_langid,
+    "op11_minhash": op11_minhash,
     "op12_divergence": op12_divergence,
 }
 
@@ -138,6 +144,26 @@ ranked AS (
 SELECT * FROM ranked WHERE "rank" <= 10
 """
 
+#: Exact sets and all pairs that share a shingle; components by closure.
+OP11_SQL = r"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS d, doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-]+'), lambda w: w <> '') AS words
+  FROM documents),
+sets AS (
+  SELECT d, doc_id, list_distinct(list_transform(range(1, greatest(len(words) - 3, CAST(len(words) > 0 AS INTEGER) + 1)),
+    lambda i: array_to_string(words[i:i + 4], ' '))) AS own FROM docs),
+grams AS (SELECT d, len(own) AS n, unnest(own) AS g FROM sets),
+links AS (
+  SELECT a.d AS x, b.d AS y FROM grams a JOIN grams b ON a.g = b.g
+  GROUP BY ALL HAVING 100 * count(*) >= 85 * (any_value(a.n) + any_value(b.n) - count(*))),
+near AS (SELECT x AS d, x AS y FROM links UNION SELECT near.d, links.y FROM near JOIN links ON near.y = links.x),
+low AS (SELECT near.d, min(s.doc_id) AS component_id FROM near JOIN sets s ON s.d = near.y GROUP BY ALL)
+SELECT s.doc_id, CAST(len(s.own) AS BIGINT) AS n_shingles, coalesce(low.component_id, s.doc_id) AS component_id,
+       coalesce(low.component_id, s.doc_id) = s.doc_id AS kept
+FROM sets s LEFT JOIN low USING (d)
+"""
+
 #: Every group against every kept word, zero counts included, where the query sums sparsely.
 OP12_SQL = r"""
 WITH docs AS (
@@ -174,4 +200,4 @@ ranked AS (
 SELECT * FROM ranked WHERE part = 'pair' OR "rank" <= 10
 """
 
-ORACLE: dict[str, str] = {"op9_vectors": OP9_SQL, "op12_divergence": OP12_SQL}
+ORACLE: dict[str, str] = {"op9_vectors": OP9_SQL, "op11_minhash": OP11_SQL, "op12_divergence": OP12_SQL}
