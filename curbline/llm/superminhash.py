@@ -175,8 +175,21 @@ def most_apart(percent: int, loss: float = 1e-9) -> int:
 def _alike(percent: int, a: str, b: str) -> Column:
     """Sizes and signature bits of two members allow the similarity."""
     x, y = F.col(f"{a}.n"), F.col(f"{b}.n")
-    bits = sum(F.bit_count(F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}"))) for s in ("s1", "s2"))
-    return (F.least(x, y) * 100 >= F.greatest(x, y) * percent) & (bits <= most_apart(percent))
+    return (F.least(x, y) * 100 >= F.greatest(x, y) * percent) & (_bits_apart(a, b) <= most_apart(percent))
+
+
+def _bits_apart(a: str, b: str) -> Column:
+    return sum(F.bit_count(F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}"))) for s in ("s1", "s2"))
+
+
+def _overlap(percent: int, a: Column, b: Column) -> Column:
+    """The fewest common elements with which sets of such sizes reach the similarity."""
+    return F.call_function("div", (a + b) * percent + (99 + percent), F.lit(100 + percent).cast("long"))
+
+
+def _can_meet(percent: int, a: str, b: str) -> Column:
+    """``_alike``, and enough elements of each that are not its own alone."""
+    return _alike(percent, a, b) & (F.least(f"{a}.common", f"{b}.common") >= _overlap(percent, F.col(f"{a}.n"), F.col(f"{b}.n")))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -201,54 +214,66 @@ def _mixed_buckets(members: DataFrame) -> DataFrame:
     return members.join(mixed, "band", "left_semi")
 
 
-def _member() -> Column:
-    return F.struct("key", "n", "s1", "s2")
+def _member(*more: str) -> Column:
+    return F.struct("key", "n", "s1", "s2", *more)
 
 
 def _nearest_first(members: DataFrame, percent: int) -> DataFrame:
-    """For each node one pair: the smallest node that heads one of its buckets and may be alike."""
+    """For each node one pair: of the nodes that head its buckets the one whose signature bits are nearest."""
     low = members.groupBy("band").agg(F.min(_member()).alias("y"))
+    near = F.struct(_bits_apart("x", "y").alias("bits"), F.col("y.key").alias("b"))
     return (members.select("band", _member().alias("x")).join(low, "band")
             .where((F.col("x.key") > F.col("y.key")) & _alike(percent, "x", "y"))
-            .groupBy(F.col("x.key").alias("a")).agg(F.min("y.key").alias("b")))
+            .groupBy(F.col("x.key").alias("a")).agg(F.min(near).alias("near")).select("a", "near.b"))
 
 
 def _small_pairs(members: DataFrame, percent: int) -> DataFrame:
-    x = members.select("band", F.col("label").alias("lx"), _member().alias("x"))
-    y = members.select("band", F.col("label").alias("ly"), _member().alias("y"))
-    return (x.join(y, "band").where((F.col("lx") != F.col("ly")) & (F.col("x.key") > F.col("y.key")) & _alike(percent, "x", "y"))
+    x = members.select("band", F.col("label").alias("lx"), _member("common").alias("x"))
+    y = members.select("band", F.col("label").alias("ly"), _member("common").alias("y"))
+    return (x.join(y, "band").where((F.col("lx") != F.col("ly")) & (F.col("x.key") > F.col("y.key")) & _can_meet(percent, "x", "y"))
             .select(F.col("x.key").alias("a"), F.col("y.key").alias("b")))
 
 
 def _star_pairs(members: DataFrame, percent: int) -> DataFrame:
     """Each node of a bucket with the first in each of a few orders, unless their labels agree."""
     low = members.groupBy("band").agg(F.array(*[
-        F.min(F.struct(F.xxhash64("key", F.lit(i)).alias("at"), F.col("label"), _member().alias("y"))) for i in range(ORDERS)]).alias("heads"))
-    each = (members.select("band", "label", _member().alias("x")).join(low, "band")
+        F.min(F.struct(F.xxhash64("key", F.lit(i)).alias("at"), F.col("label"), _member("common").alias("y"))) for i in range(ORDERS)]).alias("heads"))
+    each = (members.select("band", "label", _member("common").alias("x")).join(low, "band")
             .select("label", "x", F.explode("heads").alias("head")).select("label", "x", F.col("head.label").alias("ly"), F.col("head.y").alias("y")))
-    return (each.where((F.col("label") != F.col("ly")) & _alike(percent, "x", "y"))
+    return (each.where((F.col("label") != F.col("ly")) & _can_meet(percent, "x", "y"))
             .select(F.greatest("x.key", "y.key").alias("a"), F.least("x.key", "y.key").alias("b")))
 
 
-def _rare_pairs(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """All pairs of ``sets`` with different labels that can reach the similarity, by a prefix filter.
+def _rare_first(sets: DataFrame, percent: int) -> DataFrame:
+    """(``key``, ``n``, ``common``, ``rare``) of the sets that another of ``sets`` can be similar to.
 
-    In any one order of all shingles, sets that alike share one among the first
-    n - ceil(n percent / 100) + 1; rarest first, sets around a common passage
-    share none.
+    ``common`` counts the elements that another set has too; ``rare`` holds those (``h`` and
+    the place ``at`` in the whole set, rarest first) that are among the first
+    n - ceil(n percent / 100) + 1: sets that are similar have one of them in
+    common, sets around a common passage none.
     """
     each = sets.select("key", F.size("grams").cast("long").alias("n"), F.explode("grams").alias("h"))
     often = each.groupBy("h").agg(F.count("*").alias("often")).where("often > 1")
-    # a shingle of one set alone joins nothing, but fills its place in the prefix
-    ranked = each.join(often, "h", "left").groupBy("key", "n").agg(
-        F.sort_array(F.collect_list(F.struct(F.coalesce("often", F.lit(1).cast("long")).alias("often"), "h"))).alias("own"))
-    prefix = (F.col("n") - F.expr(f"(n * {percent} + 99) div 100") + 1).cast("int")
-    rare = ranked.select("key", "n", F.explode(F.slice("own", 1, prefix)).alias("g")).where("g.often > 1").select("key", "n", "g.h")
-    rare = written(_labelled(rare, labels), "superminhash-rare")
-    x, y = (rare.select("h", F.col("key").alias(k), F.col("label").alias(f"l{k}"), F.col("n").alias(f"n{k}")) for k in "ab")
-    return (x.join(y, "h").where((F.col("la") != F.col("lb")) & (F.col("a") > F.col("b"))
-                                 & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent))
-            .select("a", "b").distinct())
+    least = F.expr(f"(n * {percent} + 99) div 100")
+    # elements of one set alone come first: they are counted, not listed
+    shared = each.join(often, "h").groupBy("key", "n").agg(F.count("*").alias("common"), F.collect_list(F.struct("often", "h")).alias("own"))
+    alone = F.col("n") - F.col("common")
+    length = F.greatest(F.col("n") - least + 1 - alone, F.lit(0)).cast("int")
+    own = F.slice(F.sort_array("own"), F.lit(1), length)
+    return (shared.where(F.col("common") >= least)
+            .select("key", "n", "common", F.transform(own, lambda g, i: F.struct(g["h"].alias("h"), (i + F.col("n") - F.col("common")).alias("at"))).alias("rare")))
+
+
+def _rare_pairs(rare: DataFrame, percent: int) -> DataFrame:
+    """All pairs with different labels that can reach the similarity: at the first element that
+    both have, what follows must suffice."""
+    each = rare.select("key", "label", "n", F.explode("rare").alias("g")).select("key", "label", "n", "g.h", "g.at")
+    x, y = (each.select("h", *[F.col(c).alias(f"{c}_{k}") for c in ("key", "label", "n", "at")]) for k in "ab")
+    na, nb = F.col("n_a"), F.col("n_b")
+    return (x.join(y, "h").where((F.col("label_a") != F.col("label_b")) & (F.col("key_a") > F.col("key_b"))
+                                 & (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
+                                 & (F.least(na - F.col("at_a"), nb - F.col("at_b")) >= _overlap(percent, na, nb)))
+            .select(F.col("key_a").alias("a"), F.col("key_b").alias("b")).distinct())
 
 
 def near_sets(nodes: DataFrame, texts: DataFrame, percent: int = 85, shingle: int = 5) -> DataFrame:
@@ -274,16 +299,18 @@ def near_sets(nodes: DataFrame, texts: DataFrame, percent: int = 85, shingle: in
     links = written(_verified(heads, sets, percent), "superminhash-links")
     first = connected_components(links)
     left = written(_mixed_buckets(_labelled(members, first)), "superminhash-left")
-    small, large = left.where(F.col("size") <= SMALL), left.where(F.col("size") > SMALL)
+    rare = written(_rare_first(sets.join(left.select("key").distinct(), "key", "left_semi"), percent), "superminhash-rare")
+    left = left.join(rare.select("key", "common"), "key")
+    small, large = left.where(F.col("size") <= SMALL), written(left.where(F.col("size") > SMALL), "superminhash-large")
     pairs = written(_small_pairs(small, percent).union(_star_pairs(large, percent)).distinct(), "superminhash-pairs")
     links = links.union(written(_verified(pairs, sets, percent), "superminhash-links"))
     second = connected_components(links)
 
     still = _mixed_buckets(_labelled(large.drop("label"), second)).select("key").distinct()
-    still = written(sets.join(still, "key", "left_semi"), "superminhash-still")
-    more = written(_rare_pairs(still, second, percent), "superminhash-pairs")
+    still = written(_labelled(rare.join(still, "key", "left_semi"), second), "superminhash-still")
+    more = written(_rare_pairs(still, percent), "superminhash-pairs")
     out = connected_components(links.union(written(_verified(more, sets, percent), "superminhash-links")))
-    for t in (shared, members, heads, wanted, sets, left, pairs, still, more):
+    for t in (shared, members, heads, wanted, sets, rare, large, pairs, still, more):
         forget(t)
     return out
 
