@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbline.llm import decontaminate, divergence, langid, lines, packing, pii, secrets, simhash, superminhash, toxicity, vectors, warc
+from curbline.llm import decontaminate, divergence, langid, lines, packing, pii, prefix_trie, secrets, simhash, superminhash, toxicity, vectors, warc
 from curbline.llm.common import table
 
 
@@ -114,6 +114,11 @@ def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.source_divergence(table(spark, sf_dir, "documents"), min_docs=10, top_terms=10)
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of the rebuilt conversations' prefixes."""
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_pii": op2_pii,
@@ -127,6 +132,7 @@ QUERIES = {
     "op10_langid": op10_langid,
     "op11_minhash": op11_minhash,
     "op12_divergence": op12_divergence,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 #: An exact search: the codes' bounds lose a true neighbour about once in 10,000 rows.
@@ -148,7 +154,8 @@ SELECT * FROM ranked WHERE "rank" <= 10
 OP11_SQL = r"""
 WITH RECURSIVE docs AS (
   SELECT row_number() OVER () AS d, doc_id, list_filter(regexp_split_to_array(
-    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-]+'), lambda w: w <> '') AS words
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-
+]+'), lambda w: w <> '') AS words
   FROM documents),
 sets AS (
   SELECT d, doc_id, list_distinct(list_transform(range(1, greatest(len(words) - 3, CAST(len(words) > 0 AS INTEGER) + 1)),
@@ -200,4 +207,46 @@ ranked AS (
 SELECT * FROM ranked WHERE part = 'pair' OR "rank" <= 10
 """
 
-ORACLE: dict[str, str] = {"op9_vectors": OP9_SQL, "op11_minhash": OP11_SQL, "op12_divergence": OP12_SQL}
+#: Every prefix of every rebuilt conversation as a node; subtrees by comparing prefixes.
+OP13_SQL = r"""
+WITH RECURSIVE turns AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos,
+         coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT DISTINCT c, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS UBIGINT)) AS bytes FROM turns),
+crc AS (
+  SELECT c, bytes, 0 AS i, 4294967295::UBIGINT AS v FROM ids
+  UNION ALL
+  SELECT c, bytes, i + 1, list_reduce(range(8)::UBIGINT[], lambda a, x: xor(a >> 1, 3988292384::UBIGINT * (a & 1)), xor(v, bytes[i + 1]))
+  FROM crc WHERE i < len(bytes)),
+taken AS (SELECT c, xor(v, 4294967295::UBIGINT) % 6 AS h FROM crc WHERE i = len(bytes)),
+both_parts AS (
+  SELECT k.c, 0 AS part, t.pos, t.role, t.text FROM taken k JOIN turns t ON t.c = k.c - k.c % 100 AND t.pos <= k.h
+  UNION ALL
+  SELECT k.c, 1, t.pos, t.role, t.text FROM taken k JOIN turns t ON t.c = k.c AND t.pos > k.h),
+rebuilt AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, pos) AS d, role, text FROM both_parts),
+paths AS (
+  SELECT c, CAST(0 AS BIGINT) AS depth, CAST('root' AS VARCHAR) AS node, CAST(NULL AS VARCHAR) AS parent, CAST(0 AS BIGINT) AS chars FROM ids
+  UNION ALL
+  SELECT p.c, p.depth + 1, md5(concat(p.node, '/', length(r.role), '/', r.role, r.text)), p.node, length(r.text)
+  FROM paths p JOIN rebuilt r ON r.c = p.c AND r.d = p.depth + 1),
+lengths AS (SELECT c, max(depth) AS last FROM paths GROUP BY c),
+nodes AS (
+  SELECT node, any_value(parent) AS parent, any_value(depth) AS depth, min(p.c) AS conv_id, count(*) AS n, any_value(chars) AS chars,
+         sha256(coalesce(string_agg(CAST(p.c AS VARCHAR), ',' ORDER BY p.c) FILTER (depth = last), '')) AS ends
+  FROM paths p JOIN lengths USING (c) GROUP BY node),
+kids AS (SELECT parent AS node, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY ALL),
+above AS (
+  SELECT node AS low, node AS top, parent AS up FROM nodes
+  UNION ALL
+  SELECT a.low, n.node, n.parent FROM above a JOIN nodes n ON n.node = a.up),
+sums AS (
+  SELECT a.top AS node, sum((n.n - 1) * n.chars) AS saved, count(*) FILTER (k.n_children IS NULL) AS leaves
+  FROM above a JOIN nodes n ON n.node = a.low LEFT JOIN kids k ON k.node = a.low GROUP BY ALL)
+SELECT n.conv_id, n.depth, u.conv_id AS parent_conv_id, n.n AS n_convs, coalesce(k.n_children, 0) AS n_children,
+       s.leaves AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, n.ends AS ends_sha256
+FROM nodes n JOIN sums s USING (node) LEFT JOIN kids k USING (node) LEFT JOIN nodes u ON u.node = n.parent
+"""
+
+ORACLE: dict[str, str] = {"op9_vectors": OP9_SQL, "op11_minhash": OP11_SQL, "op12_divergence": OP12_SQL,
+                          "op13_prefix_trie": OP13_SQL}
