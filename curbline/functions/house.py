@@ -21,11 +21,17 @@ def parse_int(c: Column | str) -> Column:
 
     An optional sign and digits; a decimal part is cut off ('12.5' -> 12, '.5'
     and '.' -> 0). No exponents or other characters; out of range is NULL.
-    Spaces around the number are ignored, as later Spark versions do.
+    Blanks around the number are ignored, as later Spark versions do.
+
+    Two speeds: a plain cast reads whole numbers; only a text that is not
+    empty and that the cast refuses is looked at with a pattern.
     """
     col = _col(c)
-    whole = F.regexp_extract(col, "^ *([+-]?[0-9]+)([.][0-9]*)? *$", 1).try_cast("int")
-    return F.coalesce(whole, F.when(col.rlike("^ *[+-]?[.][0-9]* *$"), F.lit(0)))
+    cut = F.regexp_extract(col, r"^\s*([+-]?[0-9]*)[.][0-9]*\s*$", 1)
+    odd = F.when(col.contains("."), F.when(cut.isin("+", "-"), F.lit(0))
+                 .when(cut != "", cut.try_cast("int"))
+                 .when(col.rlike(r"^\s*[.][0-9]*\s*$"), F.lit(0)))
+    return F.coalesce(col.try_cast("int"), odd)
 
 
 def upper_street(c: Column | str) -> Column:
