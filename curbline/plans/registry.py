@@ -98,6 +98,18 @@ def q_scan_csv_mixed_headers(spark, d):
     return csv_io.read_violations_csv(spark, path)
 
 
+@register("scan_csv_split_multiline", O.with_(*FX) + "SELECT * FROM fx_violation")
+def q_scan_csv_split_multiline(spark, d):
+    # a remark with line breaks, quotes and commas stands between the used columns
+    path, names = csv_io.fresh_path(spark, "facts-lines-csv"), {k: c for c, k in VIOLATION_CSV_COLUMNS.items()}
+    remark = F.concat_ws("", F.lit('first "line", \r\n'), F.col("street_name"), F.lit('\n"\n\n,'), F.col("vid").cast("string"))
+    v = _v(spark, d)
+    cells = [F.col(c).alias(names[c]) for c in v.columns]
+    (v.select(*cells[:2], remark.alias("Remark"), *cells[2:])
+     .write.option("header", "true").option("escape", '"').csv(path))
+    return csv_io.read_violations_csv(spark, path, multi_line="split")
+
+
 @register("scan_csv_segments", O.with_(*FX) + "SELECT * FROM fx_segment")
 def q_scan_csv_segments(spark, d):
     path = csv_io.write_segments_csv(_s(spark, d), csv_io.fresh_path(spark, "segments-csv"))

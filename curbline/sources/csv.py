@@ -5,8 +5,10 @@ by name, so the CSV parser only materialises those (CSV column pruning). Files
 are grouped by their header line first: files of one folder may have other
 column orders or more columns, each group is read with its own, and a file
 that lacks a used column is an error. ``multi_line`` (quoted fields with
-embedded newlines) makes each file one task; large inputs should be staged
-to Parquet once (``curbline.sources.staging``) and read from there.
+embedded newlines): True makes each file one task, ``"split"`` reads such files by
+many tasks (``curbline.sources.records``), False is for files without line breaks in
+fields. Large inputs should be staged to Parquet once
+(``curbline.sources.staging``) and read from there.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from curbline.schemas import (
 )
 from curbline.session import scratch_path
 from curbline.sources.headers import csv_files, headers
+from curbline.sources.records import read_records
 
 CSV_OPTIONS = {"header": "true", "escape": '"'}
 
@@ -39,14 +42,17 @@ def _reader(spark: SparkSession, multi_line: bool):
             .option("mode", "PERMISSIVE"))
 
 
-def _scans(spark: SparkSession, path: str, multi_line: bool) -> list[DataFrame]:
+def _scans(spark: SparkSession, path: str | list[str], multi_line: bool | str) -> list[DataFrame]:
     """One scan per header found at ``path``, its columns as text."""
     out = []
-    for header, files in headers(spark, csv_files(spark, path)).items():
+    if multi_line not in (True, False, "split"):
+        raise ValueError(f"unknown form of multi_line {multi_line!r}")
+    for header, files in headers(spark, csv_files(spark, path) if isinstance(path, str) else path).items():
         # a repeated name is told apart by its place, as an inferred schema would
         names = [f"{n}{i}" if header.count(n) > 1 else n for i, n in enumerate(header)]
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        out.append(_reader(spark, multi_line).schema(schema).csv(files))
+        out.append(read_records(spark, files, schema) if multi_line == "split"
+                   else _reader(spark, multi_line).schema(schema).csv(files))
     return out
 
 
@@ -67,9 +73,9 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, frames)
 
 
-def read_violations_csv(spark: SparkSession, path: str, multi_line: bool = True,
+def read_violations_csv(spark: SparkSession, path: str | list[str], multi_line: bool | str = True,
                         by_position: bool = False) -> DataFrame:
-    """A directory (or file) of event CSVs -> schema VIOLATION.
+    """A directory, a file or a list of files of event CSVs -> schema VIOLATION.
 
     Columns are found by each file's own header names, or with ``by_position``
     at the fixed positions of the public layout (S3); the header line is
@@ -90,7 +96,7 @@ def read_violations_csv(spark: SparkSession, path: str, multi_line: bool = True,
     return out.withColumn("vid", F.coalesce("vid", F.monotonically_increasing_id()))
 
 
-def read_segments_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_segments_csv(spark: SparkSession, path: str, multi_line: bool | str = True) -> DataFrame:
     """Segment CSVs -> schema SEGMENT.
 
     Without an order column (``OBJECTID``) rows are numbered by file name and
@@ -104,6 +110,8 @@ def read_segments_csv(spark: SparkSession, path: str, multi_line: bool = True) -
         return _union([_select(raw, SEGMENT_CSV_COLUMNS, casts) for raw in raws])
     if any("OBJECTID" in raw.columns for raw in raws):
         raise ValueError("some segment files have the order column 'OBJECTID' and some lack it")
+    if multi_line == "split":
+        raise ValueError("rows without the order column 'OBJECTID' are numbered by place: read them with multi_line=True")
     return _in_file_order(_union([
         _select(raw, SEGMENT_CSV_COLUMNS, casts, may_lack="seg_ord").select(
             "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_split"))
