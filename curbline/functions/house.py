@@ -23,15 +23,13 @@ def parse_int(c: Column | str) -> Column:
     and '.' -> 0). No exponents or other characters; out of range is NULL.
     Blanks around the number are ignored, as later Spark versions do.
 
-    Two speeds: a plain cast reads whole numbers; only a text that is not
-    empty and that the cast refuses is looked at with a pattern.
+    Two speeds: a plain cast reads whole numbers; only a text that the cast
+    refuses meets the pattern, which cuts the decimal part off.
     """
     col = _col(c)
-    cut = F.regexp_extract(col, r"^\s*([+-]?[0-9]*)[.][0-9]*\s*$", 1)
-    odd = F.when(col.contains("."), F.when(cut.isin("+", "-"), F.lit(0))
-                 .when(cut != "", cut.try_cast("int"))
-                 .when(col.rlike(r"^\s*[.][0-9]*\s*$"), F.lit(0)))
-    return F.coalesce(col.try_cast("int"), odd)
+    # "$1" + "0" + "$2": a zero before the digits, as there may be none
+    cut = F.regexp_replace(col, r"^\s*([+-]?)([0-9]*)[.][0-9]*\s*$", "$10$2")
+    return F.coalesce(col.try_cast("int"), cut.try_cast("int"))
 
 
 def upper_street(c: Column | str) -> Column:

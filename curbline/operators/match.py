@@ -331,23 +331,15 @@ def branch(matched: DataFrame, branch_no: int) -> DataFrame:
     return matched.where(kind & (F.col("side") == side) & (F.col("name_role") == role))
 
 
-def branch_sides(sides: DataFrame) -> list[DataFrame]:
-    """The sides of the eight branches, with the branch number; a branch keeps
-    the bounds of its own kind of number only."""
-    none = F.lit(None).cast("int")
-    return [sides.where((F.col("side") == side) & (F.col("name_role") == role))
-            .withColumns({"branch": F.lit(no), "s_lo" if compound else "lo2": none})
-            for no, (compound, side, role) in BRANCHES.items()]
-
-
 def union_branches(facts: DataFrame, sides: DataFrame, broadcast: bool | None = None,
                    salt: int | str = 1) -> DataFrame:
     """The bag union of the eight branches (columns of ``facts`` + SEGMENT_OUT + branch).
 
-    The union is taken over the branches' segment sides, a dimension, and joined
-    once, so the events are scanned once instead of eight times.
+    A side row and the kind of number it is compared with belong to exactly one
+    branch, so the union is the single join's rows with their branch number:
+    one scan of the events and one of the segments.
     """
-    return match(facts, union_all(branch_sides(sides)), "all", broadcast, salt, payload=[*SEGMENT_OUT, "branch"])
+    return match(facts, sides, "all", broadcast, salt).withColumn("branch", branch_id())
 
 
 def union_all(dfs: list[DataFrame]) -> DataFrame:
