@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from curbline.session import scratch_path
@@ -52,6 +53,26 @@ def fresh_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a number of its own for every row (column ``name``, bigint).
+
+    The number is the row's place in its stored file, and the file's place among
+    the table's files by name: it does not depend on how a scan is split, so
+    a plan that runs again, on fewer executors, gives each row the same one.
+    What is not read from Parquet files is written first.
+    """
+    try:
+        docs.select("_metadata.row_index", "_metadata.file_path")
+    except AnalysisException:
+        docs = written(docs, "numbered")
+    file, at = fresh_name(docs, "__file"), fresh_name(docs, "__at")
+    files = docs.select(F.col("_metadata.file_path").alias(file)).distinct()
+    files = written(files.withColumn(at, F.row_number().over(Window.orderBy(file)).cast("long")), "files")
+    placed = docs.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(name))
+    return (placed.join(sized_broadcast(files, files.count(), 512), file)
+            .withColumn(name, F.shiftleft(at, 40).bitwiseOR(F.col(f"`{name}`"))).drop(file, at))
+
+
 def sized_broadcast(df: DataFrame, rows: int, row_bytes: int, limit: int = 8 << 20) -> DataFrame:
     """Broadcast hint only when ``rows`` x ``row_bytes`` (both known) is in bounds."""
     return F.broadcast(df) if rows * row_bytes <= limit else df
