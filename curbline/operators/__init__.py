@@ -5,8 +5,8 @@ from curbline.operators.aggregate import (
     pivot_years_native, sum_by_id, totals_with_all_ids, zero_rows,
 )
 from curbline.operators.clean import (
-    clean_facts, clean_segments, dedupe_labels, drop_null_facts, matchable,
-    project_facts, reject_malformed,
+    REJECT_REASONS, clean_facts, clean_segments, dedupe_labels, drop_null_facts, judge_facts,
+    matchable, project_facts, read_kept, read_rejects, reject_malformed, split_malformed,
 )
 from curbline.operators.match import (
     branch, branch_id, match, range_condition, union_all, union_branches,
@@ -17,11 +17,11 @@ from curbline.operators.outer import (
 from curbline.operators.sides import segment_sides
 
 __all__ = [
-    "ADDRESS_KEYS", "branch", "branch_id", "clean_facts",
+    "ADDRESS_KEYS", "REJECT_REASONS", "branch", "branch_id", "clean_facts",
     "clean_segments", "count_long", "dedupe_labels", "distinct_ids",
-    "drop_null_facts", "fill_zero", "match", "match_inner", "match_outer",
+    "drop_null_facts", "fill_zero", "judge_facts", "match", "match_inner", "match_outer",
     "matchable", "max_merge", "pivot_outer",
     "pivot_years", "pivot_years_native", "project_facts", "range_condition",
-    "reject_malformed", "segment_sides", "segments_with_counts", "sum_by_id",
+    "read_kept", "read_rejects", "reject_malformed", "segment_sides", "segments_with_counts", "split_malformed", "sum_by_id",
     "totals_with_all_ids", "union_all", "union_branches", "zero_rows",
 ]

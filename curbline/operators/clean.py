@@ -6,9 +6,10 @@ the output stays hash-partitioning-free (no shuffle here).
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from curbline.functions import (
@@ -78,6 +79,31 @@ def matchable(facts: DataFrame) -> DataFrame:
     return facts.where(F.col("boro").isNotNull() & F.col("n1").isNotNull())
 
 
+# why an event is rejected, in the order in which the checks are made
+REJECT_REASONS = ["missing field", "empty field", "unknown county", "bad house number", "bad date"]
+
+
+_JUDGED = ("vid bigint, house_number string, street_name string, county string, issue_date string, "
+           "boro int, n1 int, n2 int, year int, reason string, rejected int")
+
+
+def judge_facts(violations: DataFrame, aliases: str = "no_pbx") -> DataFrame:
+    """Every event with its parsed fields and the first check it fails.
+
+    Columns: vid, the four raw fields, boro, n1, n2, year, reason (one of
+    ``REJECT_REASONS``; NULL for an event that is kept). Rows are never dropped and
+    no row raises an error.
+    """
+    house = strip_letters("house_number")
+    parsed = violations.select(
+        "vid", *FACT_RAW, borough_code("county", aliases).alias("boro"), number_part(house, 0).alias("n1"),
+        number_part(house, 1).alias("n2"), year_parsed("issue_date").alias("year"))
+    any_of = lambda test: functools.reduce(Column.__or__, [test(F.col(c)) for c in FACT_RAW])
+    checks = [any_of(Column.isNull), any_of(lambda c: c == ""), F.col("boro").isNull(), F.col("n1").isNull(), F.col("year").isNull()]
+    reason = F.coalesce(*[F.when(check, F.lit(name)) for check, name in zip(checks, REJECT_REASONS)])
+    return parsed.withColumn("reason", reason)
+
+
 def reject_malformed(violations: DataFrame, aliases: str = "no_pbx") -> DataFrame:
     """Keep rows whose fields are present, non-empty and parse.
 
@@ -85,23 +111,32 @@ def reject_malformed(violations: DataFrame, aliases: str = "no_pbx") -> DataFram
     county is unknown, the date is not a valid date or the house number's
     first part is not a number.
     """
-    nonempty = [F.col(c).isNotNull() & (F.col(c) != "") for c in FACT_RAW]
-    ok = nonempty[0]
-    for c in nonempty[1:]:
-        ok = ok & c
-    house = strip_letters("house_number")
-    return (
-        violations.where(ok)
-        .select(
-            "vid",
-            borough_code("county", aliases).alias("boro"),
-            number_part(house, 0).alias("n1"),
-            number_part(house, 1).alias("n2"),
-            year_parsed("issue_date").alias("year"),
-        )
-        .where(F.col("boro").isNotNull() & F.col("n1").isNotNull()
-               & F.col("year").isNotNull())
-    )
+    return judge_facts(violations, aliases).where(F.col("reason").isNull()).select("vid", "boro", "n1", "n2", "year")
+
+
+def split_malformed(violations: DataFrame, path: str, aliases: str = "no_pbx") -> dict[str, int]:
+    """Write kept and rejected events below ``path`` in one pass and count them.
+
+    Returns {"kept": n, reason: n, ...} of every reason, observed while writing: the
+    counts add up to the input rows. ``read_kept`` and ``read_rejects`` read the two.
+    """
+    judged = judge_facts(violations, aliases)
+    seen = Observation()
+    counts = [F.count_if(F.col("reason").isNull()).alias("kept")]
+    counts += [F.count_if(F.coalesce(F.col("reason") == r, F.lit(False))).alias(r) for r in REJECT_REASONS]
+    (judged.observe(seen, *counts).withColumn("rejected", F.col("reason").isNotNull().cast("int"))
+     .write.mode("errorifexists").partitionBy("rejected").parquet(path))
+    return seen.get
+
+
+def read_kept(spark: SparkSession, path: str) -> DataFrame:
+    """What ``split_malformed`` kept: vid, boro, n1, n2, year (one partition is read)."""
+    return spark.read.schema(_JUDGED).parquet(path).where("rejected = 0").select("vid", "boro", "n1", "n2", "year")
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """The reject table: vid, the raw fields, reason (one partition is read)."""
+    return spark.read.schema(_JUDGED).parquet(path).where("rejected = 1").select("vid", *FACT_RAW, "reason")
 
 
 def clean_segments(segments: DataFrame, drop_nulls: bool = True) -> DataFrame:

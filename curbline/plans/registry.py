@@ -20,8 +20,8 @@ from curbline.functions import (
 from curbline.operators import (
     ADDRESS_KEYS, branch, clean_facts, clean_segments, dedupe_labels, distinct_ids,
     drop_null_facts, fill_zero, match, match_inner, match_outer, matchable,
-    max_merge, pivot_outer, pivot_years, project_facts, reject_malformed,
-    segment_sides, segments_with_counts, sum_by_id, union_branches, zero_rows,
+    max_merge, pivot_outer, pivot_years, project_facts, read_rejects, reject_malformed,
+    segment_sides, segments_with_counts, split_malformed, sum_by_id, union_branches, zero_rows,
 )
 from curbline.plans import oracle as O
 from curbline.plans import reports
@@ -180,6 +180,31 @@ def q_reject_malformed(spark, d):
     return reject_malformed(_v(spark, d))
 
 
+REASON_SQL = f"""SELECT vid, CASE
+    WHEN house_number IS NULL OR street_name IS NULL OR county IS NULL OR issue_date IS NULL THEN 'missing field'
+    WHEN house_number = '' OR street_name = '' OR county = '' OR issue_date = '' THEN 'empty field'
+    WHEN {O.strict_int(O.county_case('county', 'no_pbx'))} IS NULL THEN 'unknown county'
+    WHEN {O.part_int("regexp_replace(house_number, '[A-Z]', '', 'g')", '-', 1)} IS NULL THEN 'bad house number'
+    WHEN year(try_strptime(issue_date, '%m/%d/%Y')) IS NULL THEN 'bad date' END AS reason
+  FROM fx_violation"""
+
+
+@register("reject_table", O.with_(*FX) + f"SELECT vid, reason FROM ({REASON_SQL}) WHERE reason IS NOT NULL")
+def q_reject_table(spark, d):
+    path = csv_io.fresh_path(spark, "judged")
+    split_malformed(_v(spark, d), path)
+    return read_rejects(spark, path).select("vid", "reason")
+
+
+@register("reject_counts", O.with_(*FX) + f"""SELECT coalesce(reason, 'kept') AS reason, count(*) AS n
+FROM ({REASON_SQL}) GROUP BY ALL""")
+def q_reject_counts(spark, d):
+    # the counts observed while the rows are written
+    path = csv_io.fresh_path(spark, "judged")
+    seen = split_malformed(_v(spark, d), path)
+    return spark.createDataFrame([(k, n) for k, n in seen.items() if n], "reason string, n bigint")
+
+
 # ---------------------------------------------------------------- scalar functions
 
 @register("fn_upper", O.with_(*FX) + "SELECT vid, upper(street_name) AS street FROM fx_violation")
@@ -596,3 +621,18 @@ def q_stream_ingest_facts(spark, d):
     ingest_violation_csvs(spark, src, out, checkpoint=csv_io.fresh_path(spark, "ingest-ckpt"))
     return staging.read_staged_violations(spark, out).select(
         "vid", "house_number", "street_name", "county", "issue_date")
+
+
+@register("stream_ingest_mixed", O.with_(*FX) + "SELECT * FROM fx_violation")
+def q_stream_ingest_mixed(spark, d):
+    from curbline.sources import staging
+    from curbline.streaming import ingest_mixed_csvs
+    # two kinds of files arrive in one folder, in batches of some files
+    src, v = csv_io.fresh_path(spark, "arriving-mixed-csv"), _v(spark, d)
+    names = {k: c for c, k in VIOLATION_CSV_COLUMNS.items()}
+    csv_io.write_violations_csv(v.where("vid % 3 = 0"), f"{src}/a")
+    (v.where("vid % 3 <> 0 OR vid IS NULL").select(F.lit("NY").alias("Plate State"), *[F.col(c).alias(names[c]) for c in reversed(v.columns)])
+     .write.option("header", "true").option("escape", '"').csv(f"{src}/b"))
+    out = csv_io.fresh_path(spark, "ingested-mixed")
+    ingest_mixed_csvs(spark, src, out, checkpoint=csv_io.fresh_path(spark, "ingest-mixed-ckpt"), max_files_per_trigger=4)
+    return staging.read_staged_violations(spark, out).select("vid", "house_number", "street_name", "county", "issue_date")

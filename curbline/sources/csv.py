@@ -14,7 +14,8 @@ fields. Large inputs should be staged to Parquet once
 from __future__ import annotations
 
 import functools
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -131,11 +132,44 @@ def _in_file_order(rows: DataFrame, number: str) -> DataFrame:
 
 
 def _write(df: DataFrame, path: str, mode: str, header: bool) -> str:
-    (df.write.mode(mode).option("header", str(header).lower()).option("escape", '"')
-       .csv(path))
+    def put(where: str, how: str) -> None:
+        df.write.mode(how).option("header", str(header).lower()).option("escape", '"').csv(where)
+
+    if mode == "overwrite":
+        _replace(df.sparkSession, path, lambda aside: put(aside, "errorifexists"))
+    else:
+        put(path, mode)
     return path
 
 
+def _replace(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Write beside ``path`` and swap by two renames once the job is done.
+
+    Spark's own overwrite deletes the old output before the job runs. Here it
+    stays readable until the new one is complete, and a failing job leaves it as it is; if
+    the second rename fails, the old output is put back. A folder's name changes at
+    once on HDFS and local disks; object stores copy.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target = hadoop.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    mark = uuid.uuid4().hex[:12]
+    # hidden names: no reader of the parent folder sees them
+    aside, old = (hadoop.Path(target.getParent(), f"_{target.getName()}-{kind}-{mark}") for kind in ("new", "old"))
+    try:
+        write(aside.toString())
+        kept = fs.exists(target)
+        if kept and not fs.rename(target, old):
+            raise OSError(f"cannot move {path} aside")
+        if not fs.rename(aside, target):
+            if kept:
+                fs.rename(old, target)
+            raise OSError(f"cannot move the new output to {path}")
+    finally:
+        fs.delete(aside, True)
+    fs.delete(old, True)
+
+
 def write_violations_csv(violations: DataFrame, path: str, mode: str = "errorifexists") -> str:
     back = {v: k for k, v in VIOLATION_CSV_COLUMNS.items()}
     return _write(violations.select(*[F.col(c).alias(back[c]) for c in violations.columns]),
@@ -149,7 +183,8 @@ def write_segments_csv(segments: DataFrame, path: str, mode: str = "errorifexist
 
 
 def write_report_csv(report: DataFrame, path: str, mode: str = "errorifexists") -> str:
-    """The report without header; 'errorifexists' fails if ``path`` exists."""
+    """The report without header; 'errorifexists' fails if ``path`` exists, 'overwrite'
+    swaps a complete new report for the old one."""
     return _write(report, path, mode, header=False)
 
 

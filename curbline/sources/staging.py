@@ -35,4 +35,4 @@ def read_staged_violations(spark: SparkSession, path: str,
     df = spark.read.parquet(path)
     if years is not None:
         df = df.where(F.col("issue_year").between(min(years), max(years)))
-    return df.drop("issue_year")
+    return df.drop("issue_year", "batch")

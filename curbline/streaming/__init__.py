@@ -6,6 +6,6 @@ data arrives) are appended exactly once to the year-partitioned Parquet
 staging table that the reports read.
 """
 
-from curbline.streaming.ingest import ingest_violation_csvs
+from curbline.streaming.ingest import ingest_mixed_csvs, ingest_violation_csvs
 
-__all__ = ["ingest_violation_csvs"]
+__all__ = ["ingest_mixed_csvs", "ingest_violation_csvs"]

@@ -12,7 +12,9 @@ from pyspark.sql import types as T
 from curbline.functions import year_text
 from curbline.schemas import VIOLATION_CSV_COLUMNS
 from curbline.session import shared_dir
+from curbline.sources.csv import read_violations_csv
 from curbline.sources.headers import csv_files, headers
+from curbline.sources.staging import stage_violations
 
 
 def _columns(spark: SparkSession, source_dir: str) -> tuple[str, ...]:
@@ -83,3 +85,48 @@ def ingest_violation_csvs(
     if query.exception() is not None:
         raise query.exception()
     return _batches(spark, checkpoint) - before
+
+
+def ingest_mixed_csvs(
+    spark: SparkSession,
+    source_dir: str,
+    staged_path: str,
+    checkpoint: str | None = None,
+    max_files_per_trigger: int | None = None,
+    multi_line: bool | str = True,
+) -> int:
+    """Append every not-yet-ingested CSV file of ``source_dir``, whatever its columns' order.
+
+    The stream's rows are new files, not lines: each micro-batch reads its files as
+    the batch scan does (grouped by header, a file without a used column is an
+    error; ``multi_line`` as there), rebalances them by year and writes below
+    ``staged_path``/batch=N. A batch that runs again after a failure replaces its own
+    folder, so it adds nothing. Read with ``read_staged_violations``.
+
+    Returns the number of micro-batches committed; the file log is kept as in
+    ``ingest_violation_csvs``.
+    """
+    if checkpoint is None:
+        key = hashlib.sha256(staged_path.encode()).hexdigest()[:16]
+        checkpoint = f"{shared_dir(spark)}/ingest-mixed-{key}"
+    reader = (spark.readStream.format("binaryFile").option("recursiveFileLookup", "true")
+              .schema("path string, modificationTime timestamp, length bigint, content binary"))
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+
+    def add(files, batch: int) -> None:
+        names = sorted(r.path for r in files.collect())       # this batch's file names
+        events = read_violations_csv(files.sparkSession, names, multi_line)
+        stage_violations(events, f"{staged_path.rstrip('/')}/batch={batch}", mode="overwrite")
+
+    before = _batches(spark, checkpoint)
+    # contents are not read here: only the names are asked for
+    query = (reader.load(source_dir).where("length > 0").select("path").writeStream
+             .foreachBatch(add)
+             .option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True)
+             .start())
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    return _batches(spark, checkpoint) - before
