@@ -22,6 +22,12 @@ event, so every match is found once -- no candidate cap, no missed wide
 range -- and the build side grows by at most ``fanout + 1`` rows per side
 row, the probe side by the (small) number of occupied levels.
 
+A compound number has two parts. Where many side rows share a range of the first
+part and differ in the second (one wide range of n1, thousands of narrow ones of
+n2), buckets of n1 alone stay full; then the second part is bucketed the same way,
+with a smaller fanout, and keys are (level, bucket) in both dimensions. The plan
+measures the fullest bucket both ways and takes the second dimension only where it helps.
+
 Strategy: the side table is a dimension. Two small aggregates over it
 (``plan_match``) give the range widths and longest strings, then the exact
 number of bucketed rows, the occupied levels and how full the buckets are.
@@ -45,17 +51,19 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 EQUI_KEYS = ["boro", "street", "parity"]
-JOIN_KEYS = EQUI_KEYS + ["kind", "level", "bucket"]
+JOIN_KEYS = EQUI_KEYS + ["kind", "level", "bucket", "level2", "bucket2"]
 SEGMENT_OUT = ["seg_ord", "physical_id", "side", "name_role"]
 DEFAULT_BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 DEFAULT_FANOUT = 16
+SECOND_FANOUT = 4                       # buckets of the second part that a row covers at its level
+SECOND_FROM = 64                        # rows of a compound bucket above which the second part is measured
 
 
 def range_condition() -> Column:
@@ -92,13 +100,15 @@ class MatchPlan:
     """Decisions taken from two small aggregates over the probe rows."""
     widths: tuple[int, int]                 # base bucket width per kind
     levels: int                             # number of levels a row may be placed at
-    occupied: tuple[tuple[int, ...], ...]   # levels that rows of each kind are at
+    occupied: tuple[tuple[tuple[int, int], ...], ...]   # (level, second level) that rows of each kind are at
     fanout: int
     rows: int                               # bucketed rows
     mean_load: float                        # rows of the bucket that a bucketed row is in, on average
     worst_load: int                         # rows of the fullest bucket
     size_bound: int                         # bytes, upper bound of the bucketed build side
     broadcast: bool
+    width2: int = 0                         # base bucket width of the second part (0: not bucketed)
+    levels2: int = 1
 
 
 ENTRY_OVERHEAD = 48                     # hash-map slot, pointers, length words
@@ -110,7 +120,8 @@ def broadcast_limit(spark: SparkSession) -> int:
 
 
 def plan_match(probe: DataFrame, broadcast: bool | None = None,
-               bucket_width: int | None = None, fanout: int = DEFAULT_FANOUT) -> MatchPlan:
+               bucket_width: int | None = None, fanout: int = DEFAULT_FANOUT,
+               second: bool | None = None) -> MatchPlan:
     """Measure the build side and choose bucketing and strategy.
 
     A first aggregate gives, per kind of row, the median and widest range, and
@@ -119,7 +130,9 @@ def plan_match(probe: DataFrame, broadcast: bool | None = None,
     counts the bucketed rows per (kind, level) and the fullest bucket: the
     exact row count times (value row + key row + entry overhead) bounds the
     broadcast hash relation. ``broadcast=True`` asks for a broadcast and is an
-    error when that bound is over the limit; ``False`` forbids one.
+    error when that bound is over the limit; ``False`` forbids one. ``second`` asks
+    for buckets of the second part or forbids them; by default they are taken if
+    a compound bucket has over ``SECOND_FROM`` rows and they at least halve the fullest.
     """
     if fanout < 2:
         raise ValueError("fanout must be >= 2")
@@ -129,6 +142,8 @@ def plan_match(probe: DataFrame, broadcast: bool | None = None,
     for k in (0, 1):
         wk = F.when(F.col("kind") == k, w)
         aggs += [F.percentile_approx(wk, 0.5).alias(f"med{k}"), F.max(wk).alias(f"max{k}")]
+    w2 = F.when(F.col("kind") == 1, F.col("hi2").cast("bigint") - F.col("lo2").cast("bigint"))
+    aggs += [F.percentile_approx(w2, 0.5).alias("med_second"), F.max(w2).alias("max_second")]
     st = probe.agg(*aggs).first()
     widths = []
     levels = 1
@@ -141,25 +156,39 @@ def plan_match(probe: DataFrame, broadcast: bool | None = None,
             lv += 1
         levels = max(levels, lv)
     draft = MatchPlan((widths[0], widths[1]), levels, ((), ()), fanout, 0, 0.0, 0, 0, False)
-    loads = (bucketed_build(probe.select(*EQUI_KEYS, "kind", "lo", "hi"), draft)
-             .groupBy(*JOIN_KEYS).agg(F.count(F.lit(1)).alias("n"))
-             .groupBy("kind", "level").agg(F.sum("n").alias("rows"), F.max("n").alias("worst"),
-                                           F.sum(F.col("n").cast("double") * F.col("n")).alias("squares"))
-             .collect())                    # one row per occupied level
+    loads = [] if second else _loads(probe, draft)
+    full = max((r["worst"] for r in loads if r["kind"] == 1), default=0)
+    if second or (second is None and full > SECOND_FROM):
+        width2, levels2 = 1 << max(0, int(st["med_second"] or 0)).bit_length(), 1
+        while int(st["max_second"] or 0) // (width2 * SECOND_FANOUT ** (levels2 - 1)) + 2 > SECOND_FANOUT:
+            levels2 += 1
+        finer = replace(draft, width2=width2, levels2=levels2)
+        found = _loads(probe, finer)
+        if second or 2 * max((r["worst"] for r in found if r["kind"] == 1), default=0) <= full:
+            draft, loads = finer, found
     rows = sum(r["rows"] for r in loads)
     pad = {c: ((int(st[f"len_{c}"] or 0) + 7) // 8) * 8 for c in strings}
-    value_row = 8 + 8 * (len(probe.columns) + 2) + sum(pad.values())   # + level, bucket
+    value_row = 8 + 8 * (len(probe.columns) + 4) + sum(pad.values())   # + levels, buckets
     key_row = 8 + 8 * len(JOIN_KEYS) + pad.get("street", 0)
     size_bound = rows * (value_row + key_row + ENTRY_OVERHEAD)
     fits = size_bound <= broadcast_limit(probe.sparkSession)
     if broadcast and not fits:
         raise ValueError(f"broadcast asked for, but the sides may take {size_bound} bytes "
                          "(curbline.broadcast.maxBytes)")
-    occupied = tuple(tuple(sorted(r["level"] for r in loads if r["kind"] == k)) for k in (0, 1))
-    return MatchPlan((widths[0], widths[1]), levels, occupied, fanout, rows,
-                     sum(r["squares"] for r in loads) / rows if rows else 0.0,
-                     max((r["worst"] for r in loads), default=0), size_bound,
-                     fits if broadcast is None else broadcast)
+    occupied = tuple(tuple(sorted((r["level"], r["level2"]) for r in loads if r["kind"] == k)) for k in (0, 1))
+    return replace(draft, occupied=occupied, rows=rows,
+                   mean_load=sum(r["squares"] for r in loads) / rows if rows else 0.0,
+                   worst_load=max((r["worst"] for r in loads), default=0), size_bound=size_bound,
+                   broadcast=fits if broadcast is None else broadcast)
+
+
+def _loads(probe: DataFrame, plan: MatchPlan) -> list:
+    """Rows, fullest bucket and sum of squares per occupied (kind, level, second level): a few rows."""
+    keyed = bucketed_build(probe.select(*EQUI_KEYS, "kind", "lo", "hi", "lo2", "hi2"), plan)
+    return (keyed.groupBy(*JOIN_KEYS).agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("kind", "level", "level2").agg(F.sum("n").alias("rows"), F.max("n").alias("worst"),
+                                                    F.sum(F.col("n").cast("double") * F.col("n")).alias("squares"))
+            .collect())
 
 
 def _level_width(plan: MatchPlan, kind: Column, level: int) -> Column:
@@ -180,22 +209,47 @@ def bucketed_build(probe: DataFrame, plan: MatchPlan) -> DataFrame:
         w = _level_width(plan, kind, lv)
         width = w if width is None else F.when(F.col("level") == lv, w).otherwise(width)
     placed = probe.withColumn("level", level).withColumn("_w", width)
-    return placed.withColumn(
+    placed = placed.withColumn(
         "bucket", F.explode(F.sequence(F.floor(lo / F.col("_w")), F.floor(hi / F.col("_w"))))
     ).drop("_w")
+    if not plan.width2:
+        return placed.withColumn("level2", F.lit(0)).withColumn("bucket2", F.lit(0).cast("bigint"))
+    lo2, hi2 = F.col("lo2"), F.col("hi2")
+    level2, w2 = F.lit(plan.levels2 - 1), F.lit(_second_width(plan, plan.levels2 - 1))
+    for lv in range(plan.levels2 - 2, -1, -1):
+        here = _second_width(plan, lv)
+        fits = (F.floor(hi2 / here) - F.floor(lo2 / here) + 1) <= SECOND_FANOUT
+        level2, w2 = F.when(fits, F.lit(lv)).otherwise(level2), F.when(fits, F.lit(here)).otherwise(w2)
+    compound = kind == 1
+    placed = placed.withColumn("level2", F.when(compound, level2).otherwise(F.lit(0))).withColumn("_w", w2)
+    covered = F.when(compound, F.sequence(F.floor(lo2 / F.col("_w")), F.floor(hi2 / F.col("_w")))).otherwise(
+        F.array(F.lit(0).cast("bigint")))
+    return placed.withColumn("bucket2", F.explode(covered)).drop("_w")
+
+
+def _second_width(plan: MatchPlan, level: int) -> int:
+    return plan.width2 * SECOND_FANOUT ** level
+
+
+def _second_bucket(plan: MatchPlan, level: int) -> Column:
+    """The event's bucket of its second part (0 where the part is not bucketed, or absent)."""
+    if not plan.width2:
+        return F.lit(0).cast("bigint")
+    return F.coalesce(F.floor(F.col("n2") / _second_width(plan, level)), F.lit(0).cast("bigint"))
 
 
 def bucketed_probe(facts: DataFrame, plan: MatchPlan) -> DataFrame:
     """Every event once per level occupied by its kind, with its bucket there."""
     def keys(kind: int) -> Column:
         return F.array(*[
-            F.struct(F.lit(lv).alias("level"), F.floor(F.col("n1") / _level_width(plan, F.lit(kind), lv)).alias("bucket"))
-            for lv in plan.occupied[kind]]).cast("array<struct<level:int,bucket:bigint>>")
+            F.struct(F.lit(lv).alias("level"), F.floor(F.col("n1") / _level_width(plan, F.lit(kind), lv)).alias("bucket"),
+                     F.lit(lv2).alias("level2"), _second_bucket(plan, lv2).alias("bucket2"))
+            for lv, lv2 in plan.occupied[kind]]).cast("array<struct<level:int,bucket:bigint,level2:int,bucket2:bigint>>")
 
     kind = F.when(F.col("n2").isNull(), F.lit(0)).otherwise(F.lit(1))
     return facts.select("*", kind.alias("kind"), F.explode(
         F.when(F.col("n2").isNull(), keys(0)).otherwise(keys(1))).alias("_k")).select(
-        *facts.columns, "kind", "_k.level", "_k.bucket")
+        *facts.columns, "kind", "_k.*")
 
 
 def choose_salt(facts: DataFrame, tasks: int | None = None) -> int:
@@ -214,16 +268,17 @@ def _first_by_lookup(facts: DataFrame, probe: DataFrame, plan: MatchPlan) -> Dat
     build = bucketed_build(probe, plan).groupBy(*JOIN_KEYS).agg(F.collect_list(cand).alias("_cands"))
     stream = facts.withColumn("kind", F.when(F.col("n2").isNull(), F.lit(0)).otherwise(F.lit(1)))
     names: list[str] = []
-    for lv in sorted(set(plan.occupied[0]) | set(plan.occupied[1])):
-        at = stream.withColumn("bucket", F.floor(F.col("n1") / _level_width(plan, F.col("kind"), lv)))
-        here = F.broadcast(build.where(F.col("level") == lv).drop("level"))
-        found = at.join(here, on=[k for k in JOIN_KEYS if k != "level"], how="left")
+    for lv, lv2 in sorted(set(plan.occupied[0]) | set(plan.occupied[1])):
+        at = stream.withColumn("bucket", F.floor(F.col("n1") / _level_width(plan, F.col("kind"), lv))).withColumn(
+            "bucket2", _second_bucket(plan, lv2))
+        here = F.broadcast(build.where((F.col("level") == lv) & (F.col("level2") == lv2)).drop("level", "level2"))
+        found = at.join(here, on=[k for k in JOIN_KEYS if k not in ("level", "level2")], how="left")
         n1, n2 = F.col("n1"), F.col("n2")
         hits = F.transform(
             F.filter("_cands", lambda c: n1.between(c["lo"], c["hi"]) & (n2.isNull() | n2.between(c["lo2"], c["hi2"]))),
             lambda c: F.struct(c["seg_ord"].alias("seg_ord"), c["physical_id"].alias("physical_id")))
-        stream = found.select(*facts.columns, "kind", *names, F.array_min(hits).alias(f"_hit{lv}"))
-        names.append(f"_hit{lv}")
+        stream = found.select(*facts.columns, "kind", *names, F.array_min(hits).alias(f"_hit{lv}_{lv2}"))
+        names.append(f"_hit{lv}_{lv2}")
     if not names:                           # no side rows at all
         return facts.where(F.lit(False)).select("*", *[F.lit(None).cast(probe.schema[c].dataType).alias(c) for c in ("seg_ord", "physical_id")])
     first = F.array_min(F.array_compact(F.array(*names)))
@@ -239,6 +294,7 @@ def match(
     salt: int | str = 1,
     bucket_width: int | None = None,
     fanout: int = DEFAULT_FANOUT,
+    second: bool | None = None,
     plan: MatchPlan | None = None,
     payload: Sequence[str] = SEGMENT_OUT,
 ) -> DataFrame:
@@ -260,7 +316,7 @@ def match(
         payload = ["seg_ord", "physical_id"]
     probe = probe_rows(sides, payload)
     if plan is None:
-        plan = plan_match(probe, broadcast, bucket_width, fanout)
+        plan = plan_match(probe, broadcast, bucket_width, fanout, second)
     if policy == "first" and plan.broadcast:
         return _first_by_lookup(facts, probe, plan)
     build = bucketed_build(probe, plan)

@@ -132,6 +132,32 @@ def test_one_wide_row_adds_one_level(spark):
     assert [len(x) for x in tidy.occupied] == [1, 0] and [len(x) for x in dirty.occupied] == [2, 0]
 
 
+def test_narrow_second_parts_under_one_wide_first_part(spark):
+    """10,000 compound ranges that all cover n1 1..500 and differ in n2: buckets in both dimensions."""
+    from curbline.operators.match import bucketed_build
+    schema = ("seg_ord long, physical_id long, boro int, street string, parity int, side string, "
+              "name_role string, s_lo int, s_hi int, lo1 int, hi1 int, lo2 int, hi2 int")
+    rows = [(i, i, 1, "A", 0, "R", "full", None, None, 1, 500, 4 * i, 4 * i + 2) for i in range(10_000)]
+    rows += [(10_000, 10_000, 1, "A", 0, "R", "full", None, None, 7, 7, 0, 40_000), (10_001, 10_001, 1, "A", 0, "R", "full", 1, 500, 1, 500, 8, 8)]
+    sides = spark.createDataFrame(rows, schema)
+    flat, plan = plan_match(probe_rows(sides), second=False), plan_match(probe_rows(sides))
+    assert flat.worst_load >= 10_000 and flat.width2 == 0
+    assert plan.width2 and plan.worst_load <= 16 and plan.rows <= 17 * 5 * 2 * len(rows)
+    assert bucketed_build(probe_rows(sides), plan).count() == plan.rows
+    facts = spark.createDataFrame([(i, 1, "A", n1, n2, 0) for i, (n1, n2) in enumerate(
+        [(3, 8), (7, 8), (500, 39_998), (501, 8), (7, 40_000), (9, None), (3, 7), (7, 3)])],
+        "vid long, boro int, street string, n1 int, n2 int, parity int")
+    want = sorted((f.vid, s[0]) for f in facts.collect() for s in rows
+                  if (f.n2 is None and s[7] is not None and s[7] <= f.n1 <= s[8]) or
+                  (f.n2 is not None and s[9] <= f.n1 <= s[10] and s[11] <= f.n2 <= s[12]))
+    firsts = {}
+    for v, o in want:
+        firsts[v] = min(o, firsts.get(v, o))
+    for kw in ({}, {"broadcast": False}, {"second": False}):
+        assert _pairs(match(facts, sides, "all", **kw)) == want, kw
+        assert {r.vid: r.seg_ord for r in match(facts, sides, "first", **kw).collect()} == firsts
+
+
 def test_equal_events_are_matched_each(spark):
     """Three equal events, also with NULL ids: three first matches, on every path."""
     seg = segment_sides(clean_segments(spark.createDataFrame(

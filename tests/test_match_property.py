@@ -55,15 +55,15 @@ def brute(facts, sides):
           suppress_health_check=list(HealthCheck))
 @given(sides=side_rows(), facts=fact_rows(),
        width=st.one_of(st.none(), st.integers(1, 300)), fanout=st.integers(2, 20),
-       broadcast=st.booleans(), salt=st.integers(1, 4))
-def test_bucketed_join_is_exact(spark, sides, facts, width, fanout, broadcast, salt):
+       broadcast=st.booleans(), salt=st.integers(1, 4), second=st.sampled_from([None, True, True, False]))
+def test_bucketed_join_is_exact(spark, sides, facts, width, fanout, broadcast, salt, second):
     s = spark.createDataFrame(sides, SIDE_SCHEMA)
     f = spark.createDataFrame(facts, "vid long, boro int, street string, n1 int, n2 int, parity int")
-    got = match(f, s, "all", broadcast=broadcast, bucket_width=width, fanout=fanout, salt=salt)
+    got = match(f, s, "all", broadcast=broadcast, bucket_width=width, fanout=fanout, salt=salt, second=second)
     pairs = sorted((r["vid"], r["seg_ord"]) for r in got.select("vid", "seg_ord").collect())
     assert pairs == brute(facts, sides)
     first = match(f, s, "first", broadcast=broadcast, bucket_width=width, fanout=fanout,
-                  salt=salt)
+                  salt=salt, second=second)
     want_first = {}
     for vid, so in brute(facts, sides):
         want_first[vid] = min(so, want_first.get(vid, so))
