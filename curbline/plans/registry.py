@@ -20,9 +20,10 @@ from curbline.functions import (
 from curbline.operators import (
     ADDRESS_KEYS, branch, clean_facts, clean_segments, dedupe_labels, distinct_ids,
     drop_null_facts, fill_zero, match, match_inner, match_outer, matchable,
-    max_merge, pivot_outer, pivot_years, project_facts, read_rejects, reject_malformed,
-    segment_sides, segments_with_counts, split_malformed, sum_by_id, union_branches, zero_rows,
+    match_stored, max_merge, pivot_outer, pivot_years, project_facts, read_rejects, reject_malformed,
+    segment_sides, segments_with_counts, split_malformed, store_events, store_sides, sum_by_id, union_branches, zero_rows,
 )
+from curbline.operators.match import plan_match, probe_rows
 from curbline.plans import oracle as O
 from curbline.plans import reports
 from curbline.schemas import VIOLATION_CSV_COLUMNS, VIOLATION_CSV_POSITIONS, year_columns
@@ -398,6 +399,24 @@ def q_match_all(spark, d):
     return reports.counts_per_id_year(matchable(_facts(spark, d)), _sides(spark, d))
 
 
+@register("match_colocated", O.with_(*FX, O.facts_cte(), O.segs_cte()) + f"""SELECT physical_id, year, CAST(count(*) AS BIGINT) AS cnt FROM (
+{O.branches('facts', 'segs', 'f.year, s.physical_id')}) GROUP BY physical_id, year""")
+def q_match_colocated(spark, d):
+    facts, sides = matchable(_facts(spark, d)).select(*ADDRESS_KEYS, "year"), _sides(spark, d)
+    events, stored_sides = _new_table(spark, "events"), _new_table(spark, "sides")
+    plan = plan_match(probe_rows(sides, ["physical_id"]), broadcast=False)
+    stored = store_events(facts, plan, events[0], salt="auto", path=events[1])
+    store_sides(sides, stored, stored_sides[0], ["physical_id"], path=stored_sides[1])
+    return (match_stored(spark, events[0], stored_sides[0])
+            .groupBy("physical_id", "year").agg(F.count(F.lit(1)).alias("cnt")))
+
+
+def _new_table(spark, label):
+    """Name and folder of a table of one run."""
+    path = csv_io.fresh_path(spark, f"stored-{label}")
+    return "curbline_" + path.rsplit("/", 1)[1].replace("-", "_"), path
+
+
 _NO_ST = O.with_(*FX, O.facts_cte(variant="no_st"), O.segs_cte())
 
 
