@@ -5,7 +5,8 @@ scan). Card numbers must pass Luhn, IBANs mod-97. Every confirmed span gets a
 score: a start value of its kind, raised or lowered by context words within
 ``CONTEXT_CHARS`` characters. Base spans are kept whatever their score; the
 kinds the method adds (``iban``; ``card_short``, 13 to 15 digits) count only
-from ``ADDED_MIN_SCORE`` on.
+from ``ADDED_MIN_SCORE`` on: an IBAN beside words that speak of something else
+needs one that speaks of an account, a short card number always needs one.
 
 All patterns run in linear time, also on very long runs without white space.
 """
@@ -25,6 +26,7 @@ BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "iban", "card_short")
 CONTEXT_CHARS = 40
 ADDED_MIN_SCORE = 0.5
+RAISE, LOWER = 0.2, 0.4
 
 START_SCORE = {"email": 0.8, "ip": 0.5, "card": 0.7, "phone": 0.5, "iban": 0.8, "card_short": 0.3}
 RAISES = {
@@ -40,7 +42,7 @@ LOWERS = {
     "ip": {"version", "release", "section"},
     "card": {"order", "isbn", "tracking", "serial"},
     "phone": {"order", "isbn", "serial", "equation"},
-    "iban": {"serial", "part"},
+    "iban": {"serial", "part", "order", "tracking"},
     "card_short": {"order", "isbn", "tracking", "serial"},
 }
 
@@ -138,7 +140,7 @@ def proposals(text: str) -> Iterator[tuple[str, int, int]]:
 def score(text: str, kind: str, start: int, end: int) -> float:
     near = text[max(0, start - CONTEXT_CHARS):start] + " " + text[end:end + CONTEXT_CHARS]
     words = set(_WORD.findall(near.lower()))
-    change = 0.2 * bool(words & RAISES[kind]) - 0.3 * bool(words & LOWERS[kind])
+    change = RAISE * bool(words & RAISES[kind]) - LOWER * bool(words & LOWERS[kind])
     return round(min(1.0, max(0.0, START_SCORE[kind] + change)), 3)
 
 

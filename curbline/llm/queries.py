@@ -34,12 +34,13 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Personal data in every document, base and added spans."""
+    """Personal data in every document, base and added spans; ``scores`` stand in the order of ``spans``."""
     found = pii.find_personal_data(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE_KINDS))
     return found.select(
         "doc_id", *[count_kind("spans", k).alias(f"n_{k}") for k in pii.BASE_KINDS],
-        F.sha2(joined(base), 256).alias("base_sha256"), joined("spans").alias("spans"))
+        F.sha2(joined(base), 256).alias("base_sha256"), joined("spans").alias("spans"),
+        F.col("spans.score").alias("scores"))
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

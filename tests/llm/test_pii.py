@@ -66,6 +66,15 @@ def test_checksums_and_context():
     assert pii.spans("server 10.1.2.3")[0]["score"] > plain_score > pii.spans("version 10.1.2.3")[0]["score"]
 
 
+def test_context_decides_every_added_kind():
+    iban, card = "DE89 3704 0044 0532 0130 00", "378282246310005"
+    for text, kept in ((f"see {iban} there", True), (f"serial part {iban}", False), (f"bank account serial {iban}", True),
+                       (f"see {card} there", False), (f"credit card {card}", True), (f"credit order {card}", False)):
+        assert bool(pii.spans(text)) == kept, text
+    base = "order isbn serial tracking 4111 1111 1111 1111"       # base spans stay, with a low score
+    assert [(s["kind"], s["score"]) for s in pii.spans(base)] == [("card", 0.3)]
+
+
 def test_query_over_the_whole_table(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     got = queries.op2_pii(spark, SF).collect()
@@ -76,6 +85,7 @@ def test_query_over_the_whole_table(spark):
         joined = ",".join(f"{k}:{s}:{e}" for k, s, e in want)
         assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
         assert set(joined.split(",")) - {""} <= set(r.spans.split(","))
+        assert len(r.scores) == len(r.spans.split(",") if r.spans else []) and all(0 <= s <= 1 for s in r.scores)
 
 
 def test_edge_rows(spark):
