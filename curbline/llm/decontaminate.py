@@ -13,7 +13,8 @@
    reaching ``min_cosine`` are candidates.
 4. A candidate counts if the longest common word subsequence covers
    ``exact_lcs`` of the item's passage, or ``paraphrase_lcs`` of it while
-   ``answer_share`` of the item's answer stands there in order as well.
+   ``answer_share`` of the item's whole answer, however long, stands around it
+   in order as well.
 
 What the driver and each task hold is bounded by the benchmark: its words,
 its passages and the (words x rank) basis.
@@ -92,7 +93,7 @@ class Benchmark:
         self.passages: list[Passage] = []
         for item, words, answer in texts:
             number = [self.place.setdefault(w, len(self.place)) for w in words]
-            own = [self.place.setdefault(w, len(self.place)) for w in answer][:PASSAGE] if words else []
+            own = [self.place.setdefault(w, len(self.place)) for w in answer] if words else []
             parts = -(-len(number) // PASSAGE)
             for p in range(parts):
                 part = number[p * len(number) // parts:(p + 1) * len(number) // parts]
@@ -302,6 +303,9 @@ class Searcher:
             return 0.0
         if share < self.exact_lcs:
             m = len(passage.answer)
+            if m > n // 2:                      # a long answer reaches further than the passage
+                i, j = np.searchsorted(pos, [start - m, start + size + m])
+                region = word[i:j].tolist()
             if not m or lcs_length(passage.answer_places, m, region) < self.answer_share * m:
                 return 0.0
         return share
@@ -336,7 +340,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value.prepare()
         kind = pa.list_(pa.struct([("item", item_type), ("share", pa.float64()), ("first_word", pa.int32()), ("end_word", pa.int32())]))
-        apart, passage_reach = 4 * WINDOWS[-1], WINDOWS[-1]
+        longest = max((len(p.answer) for p in own.bench.passages), default=0)
+        apart, passage_reach = 4 * WINDOWS[-1] + longest, WINDOWS[-1]
         for batch in batches:
             pos, begin = _joined(batch.column(1))
             word, _ = _joined(batch.column(2))

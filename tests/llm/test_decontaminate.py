@@ -76,6 +76,51 @@ def test_paraphrases_and_clean_texts(spark):
     assert got == {(1, 3), (2, 7), (5, 4)}
 
 
+def test_recall_of_edited_items(spark):
+    """Items of the given benchmark with a share of their words replaced, dropped or swapped, inside given documents."""
+    rng = random.Random(11)
+    table = spark.read.parquet(f"{SF}/benchmark.parquet")
+    items = [(r.item_id, r.text.split()) for r in table.collect() if r.text and len(r.text.split()) >= 8]
+    texts = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect() if r.text and len(r.text) > 200]
+    clean = [t for t in texts if not any(contained(t, dc.words_of(" ".join(w))) for _, w in items)]
+    other = [w for t in rng.sample(clean, 50) for w in t.split()[:100]]
+    for share in (0.1, 0.2):
+        rows, planted = [], {}
+        while len(rows) < 240:
+            item, words = items[len(rows) % len(items)]
+            words = list(words)
+            for at in rng.sample(range(len(words) - 1), round(share * len(words))):
+                kind = rng.randrange(3)
+                if kind == 0:
+                    words[at] = rng.choice(other)
+                elif kind == 1:
+                    words[at] = ""
+                else:
+                    words[at], words[at + 1] = words[at + 1], words[at]
+            host = rng.choice(clean).split()
+            cut = rng.randrange(len(host))
+            planted[len(rows)] = item
+            rows.append((len(rows), " ".join(host[:cut] + words + host[cut:])))
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        got = {(r.doc_id, r.item) for r in dc.find_contamination(docs, table).collect()}
+        recall = sum((d, i) in got for d, i in planted.items()) / len(planted)
+        print("share edited", share, "recall", recall, "others", len({d for d, i in got if planted[d] != i}))
+        assert recall >= 0.9
+
+
+def test_an_answer_longer_than_a_passage_counts_whole(spark):
+    rng = random.Random(5)
+    question, answer = [f"q{i}" for i in range(40)], [f"a{i}" for i in range(150)]
+    table = spark.createDataFrame([(1, " ".join(question), " ".join(answer))], "item_id long, text string, answer string")
+    near = [("zz" if i % 3 == 2 else w) for i, w in enumerate(question)]          # a paraphrase: needs the answer
+    noise = [f"n{rng.randrange(2000)}" for _ in range(400)]
+    rows = [(1, near + answer), (2, near + answer[:64] + noise), (3, near), (4, question), (5, noise[:90]), (6, answer + near)]
+    rows += [(i, noise[i % 300:i % 300 + 20]) for i in range(7, 2000)]        # a corpus in which the item's words are rare
+    docs = spark.createDataFrame([(d, " ".join(w)) for d, w in rows], "doc_id long, text string")
+    got = {r.doc_id for r in dc.find_contamination(docs, table, answer_col="answer").collect()}
+    assert got == {1, 4, 6}
+
+
 def test_edge_rows(spark):
     items, table = bench(spark, [(77, None), (78, ""), (None, "entirely unheard words stand in this very odd item of ours")])
     rows = [(None, items[0][1], "x"), (1, None, "y"), (2, "", "z"), (3, items[1][1], "q"), (3, items[1][1], "q"),
