@@ -214,7 +214,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     examples (id, cosine, label). Null texts count as empty; a text without any
     term gets the toxic share of such examples; without usable labels every
     score is the toxic share, or 0.0 without labels. Ids of ``docs`` may be
-    null or repeated; other columns are not looked at.
+    null or repeated (of an example's texts under one id the one with the
+    smallest vector is the example); other columns are not looked at.
     """
     spark = docs.sparkSession
     examples = written(choose_examples(labels, id_col, label_col, max_examples), "tox-examples")
@@ -228,7 +229,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     freq = dict(vectors.select(F.explode("terms").alias("t")).groupBy("t").count().collect())
     idf = np.array([np.log((1 + total) / (1 + freq.get(t, 0))) + 1 for t in range(len(terms))])
     known = (vectors.join(F.broadcast(examples) if n_examples <= 4 * max_examples else examples, id_col)
-             .dropDuplicates([id_col]).orderBy(id_col).collect())
+             .groupBy(id_col).agg(F.min(F.struct("terms", "counts", "toxic", "stands_for")).alias("own"))
+             .select(id_col, "own.*").orderBy(id_col).collect())
     toxic = np.array([r.toxic for r in known], float)
     weight = np.array([r.stands_for for r in known], float)
     base = float(toxic @ weight / weight.sum()) if len(known) else 0.0

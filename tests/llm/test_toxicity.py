@@ -67,6 +67,14 @@ def test_held_out_toy(spark):
     assert all(e.toxic for e in got[160].evidence) and len(got[160].evidence) == 3
 
 
+def test_one_id_with_several_texts_is_the_same_example_in_every_order(spark):
+    docs, labels = toy(spark)
+    again = docs.where("doc_id % 5 = 0").selectExpr("doc_id", "concat('moron moron note ', text) AS text")
+    runs = [sorted((str(r.doc_id), r.score, str(r.evidence)) for r in toxicity.score_toxicity(d, labels).collect())
+            for d in (docs.union(again).repartition(3), again.union(docs).repartition(7, "text"))]
+    assert runs[0] == runs[1]
+
+
 def test_edge_rows(spark):
     docs, labels = toy(spark)
     odd = spark.createDataFrame([(None, "stupid moron"), (500, None), (501, ""), (502, "moron " * 100_000), (0, "moron"), (0, "moron")],
