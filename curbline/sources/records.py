@@ -52,6 +52,25 @@ def ends_inside(line: str, inside: bool) -> bool:
             return False
 
 
+def _fixed_splits(spark: SparkSession, files: list[str]) -> SparkSession:
+    """A session in which ``files``, or some of them, are always split alike.
+
+    Spark's split size follows the bytes of the files that one scan selects and the
+    cores there are at that moment, so a scan of the few files with cut records had other
+    splits than the scan before. A table keeps the session it was read in.
+    """
+    conf = spark.conf
+    most, least = (int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(conf.get(f"spark.sql.files.{k}")))
+                   for k in ("maxPartitionBytes", "openCostInBytes"))
+    tasks = int(conf.get("spark.sql.files.minPartitionNum", None) or spark.sparkContext.defaultParallelism)
+    total = spark.read.format("binaryFile").load(files).agg(F.sum("length")).first()[0] or 0
+    fixed = spark.newSession()
+    fixed.conf.set("spark.sql.files.minPartitionNum", "1")
+    fixed.conf.set("spark.sql.files.openCostInBytes", str(least))
+    fixed.conf.set("spark.sql.files.maxPartitionBytes", str(min(most, max(1, least, -(-total // tasks)))))
+    return fixed
+
+
 def _lines(spark: SparkSession, files: Iterable[str]) -> DataFrame:
     # "\n" alone ends a line, so that a field keeps its own "\r"
     return spark.read.option("lineSep", "\n").text(list(files)).select(
@@ -163,18 +182,21 @@ def records(spark: SparkSession, files: list[str]) -> DataFrame:
     Reads the files once to find the states (at once), and once more for the
     records. Blank records are dropped, as by Spark's reader.
     """
-    states = split_states(spark, files)
+    fixed = _fixed_splits(spark, files)
+    states = split_states(fixed, files)
+    # the union with no rows makes it a table of the caller's session
+    lines = spark.createDataFrame([], "file string, start bigint, line string").union(_lines(fixed, files))
     cut = {f for f, s in states.items() if any(before for before, _, _ in s.values())}
 
     def scan(wanted: DataFrame, only_parts: bool) -> DataFrame:
         keyed = wanted.select(F.xxhash64("file").alias("file"), "start", "line")
         return keyed.mapInArrow(_joined(states, only_parts), "file bigint, start bigint, part int, record string")
 
-    found = scan(_lines(spark, files), False).select("record")
+    found = scan(lines, False).select("record")
     if cut:
         # the files with a record over a split's end; Spark's own names give the keys
         hit = F.xxhash64("file").isin(*sorted(cut)) if len(cut) <= 1000 else F.lit(True)
-        parts = scan(_lines(spark, files).where(hit), True)
+        parts = scan(lines.where(hit), True)
         order = Window.partitionBy("file").orderBy("start", "place").rowsBetween(Window.unboundedPreceding, 0)
         # within a split the end of the last record comes before the beginning of the next
         placed = parts.withColumn("place", (F.col("part") == BEGUN).cast("int")).withColumn(

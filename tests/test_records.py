@@ -93,3 +93,13 @@ def test_many_files_are_headed_by_executors(spark, tmp_path):
         assert [r.vid for r in rows] == list(range(60)) and {r.street_name for r in rows} == {"MAIN ST"}
     with pytest.raises(FileNotFoundError):
         headers.csv_files(spark, str(tmp_path / "none"))
+
+
+def test_few_files_with_cut_records_keep_their_splits(spark, tmp_path):
+    # one file of many has records over a split's end: its second scan selects it alone
+    (tmp_path / "a.csv").write_text("c0,c1\n" + '1,"' + "ab\n" * 60 + '"\n' * 1 + '2,"x\ny"\n' * 400, newline="")
+    for i in range(9):
+        (tmp_path / f"b{i}.csv").write_text("c0,c1\n" + "3,plain\n" * 400, newline="")
+    with headers._settings(spark, {"spark.sql.files.openCostInBytes": "0", "spark.sql.files.minPartitionNum": "20"}):
+        got, want, _ = both(spark, tmp_path, 2)
+    assert got == want and len(got) == 401 + 9 * 400
