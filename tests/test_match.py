@@ -298,3 +298,23 @@ def test_size_bound_is_an_upper_bound(spark, small):
     rows = build.count()
     assert plan.size_bound >= rows * 100          # at least ~100 bytes per row counted
     assert plan.rows == rows
+
+
+def test_rows_of_one_range_meet_an_address_once(spark):
+    from curbline.operators import match_totals
+    from curbline.operators.match import _first_per_range, match_ranges, probe_rows
+    # 40 rows of two ranges: pairs are of addresses and ranges, whatever shares them
+    sides = spark.createDataFrame(
+        [(i, i // 2, 1, "A", 0, "R", "full", 2, 10 + 10 * (i % 2), 2, 9, 1, 5) for i in range(40)],
+        "seg_ord long, physical_id long, boro int, street string, parity int, side string, name_role string, "
+        "s_lo int, s_hi int, lo1 int, hi1 int, lo2 int, hi2 int")
+    facts = spark.createDataFrame([(1, "A", 4, None, 0, 3), (1, "A", 14, None, 0, 5), (1, "A", 4, 4, 0, 7), (1, "B", 4, None, 0, 9)],
+                                  "boro int, street string, n1 int, n2 int, parity int, cnt long")
+    assert match_ranges(facts, sides).count() == 4
+    assert _first_per_range(probe_rows(sides, ["seg_ord", "physical_id"])).count() == 3
+    for options in ({}, {"broadcast": False}, {"broadcast": False, "salt": 3}):
+        got = match_totals(facts, sides, ["cnt"], ["seg_ord"], **options).groupBy("seg_ord").agg(F.sum("cnt").alias("n"))
+        want = match(facts, sides, "all", **options).groupBy("seg_ord").agg(F.sum("cnt").alias("n"))
+        assert sorted(got.collect()) == sorted(want.collect()) and got.count() == 40
+        first = match(facts, sides, "first", **options).select("n1", "n2", "seg_ord", "physical_id").collect()
+        assert sorted(first, key=str) == sorted([(4, None, 0, 0), (14, None, 1, 0), (4, 4, 0, 0)], key=str)
