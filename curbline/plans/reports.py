@@ -27,7 +27,7 @@ from curbline.operators import (
     ADDRESS_KEYS, clean_facts, clean_segments, count_long, match, matchable,
     pivot_years, segment_sides, totals_with_all_ids,
 )
-from curbline.operators.match import MatchPlan, plan_match, probe_rows
+from curbline.operators.match import MatchPlan, match_ranges, match_totals, plan_match, probe_rows, range_counts
 from curbline.schemas import year_columns
 from curbline.session import shared_dir
 
@@ -76,8 +76,8 @@ def yearly_counts(
     * count first -- otherwise: events are first counted per address and year
       (partial + final aggregate), so the join handles one row per address
       instead of one per event: it is a shuffled sort-merge join when the
-      sides are too big to broadcast, and when ranges pile up the join output
-      shrinks by the events-per-address factor.
+      sides are too big to broadcast, and when ranges pile up the join meets
+      every distinct range of a street once (``match_totals``).
 
     ``plan`` reuses an earlier measurement of the same segments
     (``measure_segments``) instead of reading them for it once more.
@@ -104,7 +104,7 @@ def yearly_counts(
                 id_rows.select("physical_id", F.lit(None).cast("int").alias("year")))
         return _cut(pivot_years(matched, ["physical_id"], years), checkpoint)
     addresses = _cut(pivot_years(facts, ADDRESS_KEYS, years), checkpoint)
-    matched = match(addresses, sides, "all", plan=plan, salt=salt, payload=payload)
+    matched = match_totals(addresses, sides, ycols, payload, salt=salt, plan=plan)
     return totals_with_all_ids(matched, id_rows, ycols)
 
 
@@ -135,8 +135,7 @@ def counts_per_id_year(facts: DataFrame, sides: DataFrame,
         m = match(facts.select(*ADDRESS_KEYS, "year"), sides, "all", plan=plan, payload=payload)
         return m.groupBy("physical_id", "year").agg(F.count(F.lit(1)).alias("cnt"))
     addresses = count_long(facts, ADDRESS_KEYS + ["year"])
-    m = match(addresses, sides, "all", plan=plan, salt=salt, payload=payload)
-    return m.groupBy("physical_id", "year").agg(F.sum("cnt").cast("bigint").alias("cnt"))
+    return range_counts(match_ranges(addresses, sides, plan=plan, salt=salt), sides, "physical_id", ["year"])
 
 
 def with_trend(counts: DataFrame, years: Sequence[int], digits: int) -> DataFrame:
