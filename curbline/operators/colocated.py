@@ -29,7 +29,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbline.operators.match import (
-    JOIN_KEYS, SECOND_FANOUT, SEGMENT_OUT, MatchPlan, bucketed_build, bucketed_probe, choose_salt, probe_rows, range_condition,
+    JOIN_KEYS, RANGE_KEYS, SECOND_FANOUT, SEGMENT_OUT, MatchPlan, bucketed_build, bucketed_probe, choose_salt, probe_rows,
+    range_condition, ranged_rows,
 )
 
 PROPERTY = "curbline.match"
@@ -135,15 +136,16 @@ def _too_wide(probe: DataFrame, plan: MatchPlan) -> bool:
 
 
 def store_sides(sides: DataFrame, stored: StoredPlan, table: str, payload: Sequence[str] = SEGMENT_OUT,
-                path: str | None = None) -> None:
+                path: str | None = None, ranges: bool = False) -> None:
     """Store segment sides as a new table keyed by the events' plan.
 
     A side row is there once per covered house-number bucket (at most fanout + 1
     of its level) and salt. Rows that need a level at which no event is
-    stored are an error, found before anything is written.
+    stored are an error, found before anything is written. ``ranges`` stores every
+    distinct range once, without payload (for ``match_stored_ranges``).
     """
     spark = sides.sparkSession
-    probe = probe_rows(sides, payload)
+    probe = ranged_rows(sides, []).distinct() if ranges else probe_rows(sides, payload)
     plan = stored.match_plan()
     if _too_wide(probe, plan):              # before rows are repeated per covered bucket
         raise ValueError("a range needs a level at which no event is stored; store the events again with a plan of these sides")
@@ -168,6 +170,21 @@ def match_stored(spark: SparkSession, events: str, sides: str, policy: str = "al
     """
     if policy not in ("all", "first"):
         raise ValueError(f"unknown policy {policy!r}")
+    joined, facts, payload = _stored_pairs(spark, events, sides)
+    if policy == "all":
+        return joined.select(*facts, *payload)
+    return joined.groupBy(*EVENT_NO, *facts).agg(
+        F.min("seg_ord").alias("seg_ord"), F.min_by("physical_id", "seg_ord").alias("physical_id")).drop(*EVENT_NO)
+
+
+def match_stored_ranges(spark: SparkSession, events: str, ranges: str) -> DataFrame:
+    """``match.match_ranges`` between stored events and stored distinct ranges (``store_sides`` with ``ranges``), without an Exchange."""
+    joined, facts, _ = _stored_pairs(spark, events, ranges)
+    return joined.select(*RANGE_KEYS, *[c for c in facts if c not in RANGE_KEYS])
+
+
+def _stored_pairs(spark: SparkSession, events: str, sides: str) -> tuple[DataFrame, list[str], list[str]]:
+    """The joined tables, the event columns and the stored payload."""
     if stored_plan(spark, events) != stored_plan(spark, sides):
         raise ValueError(f"{events} and {sides} were stored with different plans")
     e, s = spark.table(events), spark.table(sides)
@@ -177,8 +194,4 @@ def match_stored(spark: SparkSession, events: str, sides: str, policy: str = "al
     added = ("kind", "level", "bucket", "level2", "bucket2", "salt_no", *EVENT_NO)
     facts = [c for c in e.columns if c not in added]
     payload = [c for c in s.columns if c not in KEYS and c not in ("lo", "hi", "lo2", "hi2")]
-    joined = e.join(s.hint("merge"), KEYS).where(range_condition())
-    if policy == "all":
-        return joined.select(*facts, *payload)
-    return joined.groupBy(*EVENT_NO, *facts).agg(
-        F.min("seg_ord").alias("seg_ord"), F.min_by("physical_id", "seg_ord").alias("physical_id")).drop(*EVENT_NO)
+    return e.join(s.hint("merge"), KEYS).where(range_condition()), facts, payload
