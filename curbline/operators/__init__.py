@@ -10,7 +10,7 @@ from curbline.operators.clean import (
 )
 from curbline.operators.colocated import append_events, match_stored, match_stored_ranges, store_events, store_sides, stored_plan
 from curbline.operators.match import (
-    branch, branch_id, match, match_totals, range_condition, range_counts, union_all, union_branches,
+    branch, branch_id, match, match_pairs, match_totals, range_condition, range_counts, union_all, union_branches,
 )
 from curbline.operators.outer import (
     match_inner, match_outer, pivot_outer, segments_with_counts,
